@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, quality
-from .staging import stage
+from . import decontaminate, jaccard_join, line_dedup, packing, quality, token_files
+from .staging import new_path, stage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -20,6 +21,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("line_count").alias("n_lines"), F.col("line_drops").alias("n_dropped"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     profiled = stage(quality.profile(table(spark, sf_dir, "documents").select("doc_id", "text")), "quality")
     return quality.judge(profiled, quality.fit(profiled)).select("doc_id", *quality.COUNTS, "base_failed", "kept", "quality")
@@ -30,7 +36,18 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op5_quality_rules, op8_decontaminate)}
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read(spark, path, with_ids=False)
+
+
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = jaccard_join.groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col("size").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+QUERIES = {f.__name__: f for f in (op2_line_dedup, op4_packing, op5_quality_rules, op8_decontaminate, op9_token_files, op10_jaccard_join)}
 
 _WHITE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _BENCH_WORDS = rf"regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -45,6 +62,17 @@ marked AS (SELECT doc_id, i, line, keeper IS NOT NULL AND keeper <> doc_id AS go
 SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    "op10_jaccard_join": f"""
+WITH RECURSIVE dw AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 2], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, least(len(w), 1) + 1))) AS p FROM dw WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+coded AS (SELECT doc_id, s FROM sh WHERE s IN (SELECT s FROM sh GROUP BY s HAVING count(*) > 1)),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM coded a JOIN coded b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * common >= 90 * (x.n + y.n - common)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS r FROM dw UNION SELECT e.b, reach.r FROM reach JOIN edges e ON e.a = reach.a)
+SELECT dw.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+FROM dw LEFT JOIN size USING (doc_id) JOIN (SELECT a AS doc_id, min(r) AS component_id FROM reach GROUP BY a) USING (doc_id)""",
     "op8_decontaminate": f"""
 WITH iw AS (SELECT item_id, {_BENCH_WORDS} AS w FROM benchmark),
 win AS (SELECT DISTINCT item_id, n, array_to_string(w[p:p + n - 1], ' ') AS s
