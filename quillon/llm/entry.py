@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, line_dedup, packing, quality, token_files
+from . import decontaminate, html_extract, jaccard_join, language, line_dedup, packing, quality, token_files, url_filter
 from .staging import new_path, stage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -16,6 +16,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The rules of the url filter.
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.col("line_count").alias("n_lines"), F.col("line_drops").alias("n_dropped"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -31,6 +39,18 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(profiled, quality.fit(profiled)).select("doc_id", *quality.COUNTS, "base_failed", "kept", "quality")
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = language.learn(docs.where(~held_out))
+    return language.identify(docs.select("doc_id", "text"), model).withColumn("held_out", held_out)
+
+
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_extract.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -47,12 +67,22 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("size").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op4_packing, op5_quality_rules, op8_decontaminate, op9_token_files, op10_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_line_dedup, op4_packing, op5_quality_rules, op6_language, op7_html_extract, op8_decontaminate, op9_token_files, op10_jaccard_join)}
 
 _WHITE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _BENCH_WORDS = rf"regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+_HOST = f"translate(regexp_extract(substr(url, strpos(url, '://') + 3), '^([^/?#]*)', 1), '{UPPER}', '{LOWER}')"
+_PATH = "regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*([^?#]*)', 1)"
+
 ORACLE_SQL = {
+    "op1_url_filter": f"""
+WITH rules(kind, rule) AS (VALUES {", ".join(map(str, URL_RULES))}),
+u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN {_HOST} ELSE '' END AS host, CASE WHEN strpos(url, '://') > 0 THEN {_PATH} ELSE '' END AS path FROM pages),
+fit AS (SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(kind, length(rule)) AS kind FROM u, rules
+        WHERE ('.' || host) LIKE ('%.' || split_part(rule, '/', 1)) AND starts_with(path, substr(rule, strpos(rule, '/'))) GROUP BY page_id)
+SELECT page_id, host, path, rule, coalesce(kind, CASE WHEN list_has_any(regexp_split_to_array(host, '[.-]'), {list(url_filter.LISTED_WORDS)}) THEN 'block' ELSE 'allow' END) AS verdict
+FROM u LEFT JOIN fit USING (page_id)""",
     "op2_line_dedup": f"""
 WITH parts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
 lines AS (SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS i FROM parts),
