@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_extract, jaccard_join, language, line_dedup, packing, quality, token_files, url_filter
+from . import decontaminate, html_extract, jaccard_join, language, line_dedup, packing, pii, quality, token_files, url_filter
 from .staging import new_path, stage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -29,6 +29,14 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("line_count").alias("n_lines"), F.col("line_drops").alias("n_dropped"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+#: The key of the surrogates. A real deployment passes a secret of its own.
+PII_KEY = "quillon-surrogates"
+
+
+def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
@@ -67,7 +75,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("size").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_line_dedup, op4_packing, op5_quality_rules, op6_language, op7_html_extract, op8_decontaminate, op9_token_files, op10_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_line_dedup, op3_pii_surrogates, op4_packing, op5_quality_rules, op6_language, op7_html_extract, op8_decontaminate, op9_token_files, op10_jaccard_join)}
 
 _WHITE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _BENCH_WORDS = rf"regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
