@@ -1 +1 @@
-"""See the README for what lives here."""
+"""Operators on flat step tables."""

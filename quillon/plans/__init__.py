@@ -1 +1 @@
-"""See the README for what lives here."""
+"""Declarative schemas, specs and target projections, compiled to columns."""

@@ -1 +1 @@
-"""See the README for what lives here."""
+"""Where step tables come from and go to."""
