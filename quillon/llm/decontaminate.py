@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scan import ALNUM, Text, owners, slices
@@ -160,11 +160,13 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
         count = F.count(F.when(F.col("block") == 0, 1)).alias("copies")
         flat = F.flatten(F.collect_list("spans"))
         found = found.groupBy(key, "n_words").agg(count, flat.alias("parts"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"))
-        merged = F.aggregate(
-            F.array_sort("parts"),
-            F.expr("cast(array() as array<struct<word:long,end_word:long,byte:long,end_byte:long>>)"),
-            lambda acc, s: F.when((F.size(acc) > 0) & (s["word"] <= F.element_at(acc, -1)["end_word"]), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["word"].alias("word"), F.greatest(F.element_at(acc, -1)["end_word"], s["end_word"]).alias("end_word"), F.element_at(acc, -1)["byte"].alias("byte"), F.greatest(F.element_at(acc, -1)["end_byte"], s["end_byte"]).alias("end_byte"))))).otherwise(F.concat(acc, F.array(s))),
-        )
+
+        def unite(acc: Column, s: Column) -> Column:
+            before = F.element_at(acc, -1)
+            wider = F.named_struct(F.lit("word"), before["word"], F.lit("end_word"), F.greatest(before["end_word"], s["end_word"]), F.lit("byte"), before["byte"], F.lit("end_byte"), F.greatest(before["end_byte"], s["end_byte"]))
+            return F.when((F.size(acc) > 0) & (s["word"] <= before["end_word"]), F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(wider))).otherwise(F.concat(acc, F.array(s)))
+
+        merged = F.aggregate(F.array_sort("parts"), F.expr("cast(array() as array<struct<word:long,end_word:long,byte:long,end_byte:long>>)"), unite)
         found = found.select(key, "n_words", merged.alias("spans"), "item_ids", F.explode(F.sequence(F.lit(1), F.greatest("copies", F.lit(1)))).alias("copy")).drop("copy")
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end_word"] - s["word"])
     return found.select(key, "n_words", hit.alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"), "spans", "item_ids", F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))

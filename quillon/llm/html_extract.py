@@ -6,7 +6,7 @@ The first pass decides blocks by length, link density and stop-word density: lon
 with stop words are text, blocks of links are not, and short or unclear ones stay open. In
 the second pass an open block takes the label of its nearest decided neighbours (of both if
 they agree, else of the nearer). Where a page marks its article, only blocks within it can
-be text, and there an open block without a decided neighbour is.
+be text, and there an open block is, unless it stands between blocks of links.
 
 Defined results: null and empty pages, and pages without text, give the empty string; rows
 are handled each by itself; nothing is cut at any length, and the scan is linear.
@@ -181,12 +181,13 @@ def classify(found: list[Block]) -> list[Block]:
         b.good = labels[i]
         if b.good is None:
             p, q = before[i], after[i]
-            if p is None and q is None:
-                b.good = b.main
-            elif p is None or q is None:
-                b.good = labels[q if p is None else p]
+            near = [labels[x] for x in (p, q) if x is not None]
+            if b.main:
+                b.good = near != [False, False]
+            elif len(near) < 2 or near[0] == near[1]:
+                b.good = bool(near) and near[0]
             else:
-                b.good = labels[p] if labels[p] == labels[q] or i - p < q - i else labels[q] if q - i < i - p else b.main or labels[p] or labels[q]
+                b.good = True if i - p == q - i else near[0] if i - p < q - i else near[1]
     return [b for b in found if b.good]
 
 
