@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.npy import _ARROW, FIELDS, _cell, decode
 
+FILES = "path string, modificationTime timestamp, length long, content binary"
 FLAGS = "is_first boolean, is_last boolean, is_terminal boolean, reward float, discount float"
 
 
@@ -35,5 +36,5 @@ def flagged(files: DataFrame, demo: bool = True) -> DataFrame:
 
 def ingest(spark: SparkSession, folder: str, out: str, checkpoint: str, pattern: str = "*.npy", demo: bool = True) -> StreamingQuery:
     """Handle all files that are there and not yet handled, then stop."""
-    files = spark.readStream.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    files = spark.readStream.format("binaryFile").schema(FILES).option("pathGlobFilter", pattern).load(folder)
     return flagged(files, demo).writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
