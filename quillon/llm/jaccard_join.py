@@ -13,8 +13,10 @@ Buckets are never expanded into pairs. Equal sets are one class from the start.
 bucket the other classes are compared to one pivot, first to the best pivot of each class
 only, and those that link form components, which need no more pairs. What remains are the
 buckets in which several components meet: each set of members is looked at once, in blocks
-of bounded size, and pairs of different components whose one-bit parity sketches are near
-enough (their Hamming distance bounds the difference too) are verified on the whole sets.
+of bounded size, where members of different components whose one-bit parity sketches are
+near enough (their Hamming distance bounds the difference too) are candidates, nearest
+first and few for each two components; the whole sets verify them, and what fails brings
+on the next candidates, until components are one or no pair is left.
 So no link between different texts is lost, up to collisions of 64-bit hashes.
 
 Texts are scanned, never shuffled: once for the sizes, once for the buckets, once for the
@@ -42,7 +44,7 @@ from .scan import Text, mix, slices, windows
 from .staging import stage
 
 RATIO = 1.5  # of a band's ends
-BLOCK = 64  # members that are compared in one place
+BLOCK = 256  # members of a bucket that are compared to as many in one place
 MAX_BITS = 1 << 27
 _U = np.uint64
 
@@ -108,10 +110,10 @@ def bucket_keys(s: np.ndarray, all_bands: list[Band]) -> np.ndarray:
 
 
 def parity(s: np.ndarray) -> bytes:
-    """One bit for the parity of the shingles of each hash class; 64 bits at least and about
-    one for each shingle. The halves of a sketch XORed make the next smaller one."""
+    """One bit for the parity of the shingles of each hash class; 64 bits at least and two to
+    four for each shingle. The halves of a sketch XORed make the next smaller one."""
     bits = 64
-    while bits < len(s):
+    while bits < 2 * len(s):
         bits *= 2
     return np.packbits(np.bincount((s & _U(bits - 1)).astype(np.int64), minlength=bits) & 1 != 0).tobytes()
 
@@ -223,30 +225,89 @@ def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     return components(up.unionByName(links))
 
 
-def _meetings(members: DataFrame, held: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members (bucket, class, root) of one bucket with different roots whose sizes
-    and parity sketches allow a link. Large buckets are cut into blocks, and each block
-    meets each; a group holds two blocks at most."""
+def _candidates(group: list[dict], percent: int, quota: int) -> list[tuple[int, int]]:
+    """Untested pairs of members with different roots that could be linked, nearest first:
+    of two components, ``quota`` pairs at most, which then count as one."""
+    size = np.array([x["size"] for x in group])
+    root = np.unique([x["root"] for x in group], return_inverse=True)[1]
+    shortest = min(len(x["parity"]) for x in group)
+    bits = np.zeros((len(group), shortest), np.uint8)
+    for i, x in enumerate(group):
+        p = np.frombuffer(x["parity"], np.uint8)
+        while len(p) > shortest:
+            p = p[: len(p) // 2] ^ p[len(p) // 2 :]
+        bits[i] = p
+    passed = []
+    for i in range(len(group) - 1):
+        a, b = np.minimum(size[i], size[i + 1 :]), np.maximum(size[i], size[i + 1 :])
+        may = np.flatnonzero((root[i + 1 :] != root[i]) & (100 * a >= percent * b))
+        if len(may):
+            apart = np.bitwise_count(bits[i + 1 + may] ^ bits[i]).sum(1, dtype=np.int64)
+            ok = apart <= (100 - percent) * (a + b)[may] // (100 + percent)
+            passed += zip(apart[ok].tolist(), [i] * int(ok.sum()), (i + 1 + may[ok]).tolist(), strict=True)
+    tested = [set(x["failed"] or ()) for x in group]
+    up: dict[int, int] = {}
+    given: dict[tuple[int, int], int] = {}
+
+    def top(r: int) -> int:
+        while r in up:
+            r = up[r]
+        return r
+
+    found = []
+    for _, i, j in sorted(passed):
+        x, y = sorted((top(int(root[i])), top(int(root[j]))))
+        one, two = group[i]["class"], group[j]["class"]
+        if x == y or two in tested[i]:
+            continue
+        found.append((min(one, two), max(one, two)))
+        given[x, y] = given.get((x, y), 0) + 1
+        if given[x, y] >= quota:
+            up[x] = y
+    return found
+
+
+def _meetings(members: DataFrame, held: DataFrame, failed: DataFrame | None, percent: int, quota: int) -> DataFrame:
+    """bucket and candidate pairs (a, b) of members (bucket, class, root) of one bucket with
+    different roots. Large buckets are cut into blocks, and each block meets each; a group
+    holds two blocks at most and compares parity sketches."""
     many = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
     mixed = members.join(many.select("bucket", F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks")), "bucket").join(held.select("class", "size", "parity"), "class")
+    if failed is None:
+        mixed = mixed.withColumn("failed", F.array().cast("array<bigint>"))
+    else:
+        both = failed.select("a", "b").unionByName(failed.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        mixed = mixed.join(both.groupBy(F.col("a").alias("class")).agg(F.collect_set("b").alias("failed")), "class", "left")
     mixed = mixed.withColumn("block", F.expr("pmod(xxhash64(class), blocks)")).withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
-    grouped = mixed.groupBy("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).agg(F.collect_list(F.struct("class", "root", "size", "parity")).alias("all"))
+    grouped = mixed.groupBy("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).agg(F.collect_list(F.struct("class", "root", "size", "parity", "failed")).alias("all"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            a_side, b_side = [], []
-            for group in b.column(0).to_pylist():
-                group.sort(key=lambda x: x["size"])
-                for i, x in enumerate(group):
-                    for y in group[i + 1 :]:
-                        if 100 * x["size"] < percent * y["size"]:
-                            break
-                        if x["root"] != y["root"] and near(x["parity"], y["parity"], (100 - percent) * (x["size"] + y["size"]) // (100 + percent)):
-                            a_side.append(min(x["class"], y["class"]))
-                            b_side.append(max(x["class"], y["class"]))
-            yield pa.RecordBatch.from_arrays([pa.array(a_side, pa.int64()), pa.array(b_side, pa.int64())], ["a", "b"])
-
-    return grouped.select("all").mapInArrow(run, "a long, b long").distinct()
+            for i in range(b.num_rows):
+                found = _candidates(b.column(1)[i].as_py(), percent, quota)
+                at = pa.array([b.column(0)[i].as_py()] * len(found), pa.int64())
+                yield pa.RecordBatch.from_arrays([at, *(pa.array([x[k] for x in found], pa.int64()) for k in (0, 1))], ["bucket", "a", "b"])
+
+    return grouped.select("bucket", "all").mapInArrow(run, "bucket long, a long, b long")
+
+
+def _resolved(members: DataFrame, roots: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+    """``roots`` after all links within the buckets. A round tests the nearest candidates
+    between components that meet; where a candidate fails, the bucket comes again with four
+    times as many for each two components, so there are few rounds, and in the last all
+    that were tested are linked or nothing is left to test."""
+    failed, quota = None, 1
+    while True:
+        met = stage(_meetings(_rooted(members, roots, "class", "root"), held, failed, percent, quota), "met")
+        pairs = met.select("a", "b").distinct()
+        good = stage(_verified(pairs, held, percent), "verified")
+        roots = _merged(roots, good)
+        bad = stage(pairs.join(good, ["a", "b"], "left_anti"), "failed")
+        if bad.isEmpty():
+            return roots
+        members = stage(members.join(met.join(bad, ["a", "b"], "left_semi").select("bucket").distinct(), "bucket", "left_semi"), "members")
+        failed = bad if failed is None else stage(failed.unionByName(bad), "failed")
+        quota *= 4
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 3, percent: int = 90) -> DataFrame:
@@ -279,8 +340,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 3, p
     rest = star.join(first, ["a", "b"], "left_anti")
     rest = _rooted(_rooted(rest, roots, "a", "root_a"), roots, "b", "root_b").where("root_a <> root_b").select("a", "b")
     roots = _merged(roots, _verified(rest, held, percent))
-    met = _meetings(_rooted(members.select("bucket", "class"), roots, "class", "root"), held, percent)
-    roots = _merged(roots, _verified(met.join(star, ["a", "b"], "left_anti"), held, percent))
+    roots = _resolved(members.select("bucket", "class"), roots, held, percent)
     out = _rooted(known, roots, "class", "root")
     return out.withColumn("root", F.when(F.col("size") > 0, F.col("root")))
 
