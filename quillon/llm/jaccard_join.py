@@ -44,7 +44,7 @@ from .scan import Text, mix, slices, windows
 from .staging import stage
 
 RATIO = 1.5  # of a band's ends
-BLOCK = 256  # members of a bucket that are compared to as many in one place
+BLOCK = 1024  # members of a bucket that are compared to as many in one place
 MAX_BITS = 1 << 27
 _U = np.uint64
 
@@ -237,15 +237,18 @@ def _candidates(group: list[dict], percent: int, quota: int) -> list[tuple[int,
         while len(p) > shortest:
             p = p[: len(p) // 2] ^ p[len(p) // 2 :]
         bits[i] = p
-    passed = []
+    passed = [np.zeros((3, 0), np.int32)]
     for i in range(len(group) - 1):
         a, b = np.minimum(size[i], size[i + 1 :]), np.maximum(size[i], size[i + 1 :])
         may = np.flatnonzero((root[i + 1 :] != root[i]) & (100 * a >= percent * b))
         if len(may):
             apart = np.bitwise_count(bits[i + 1 + may] ^ bits[i]).sum(1, dtype=np.int64)
             ok = apart <= (100 - percent) * (a + b)[may] // (100 + percent)
-            passed += zip(apart[ok].tolist(), [i] * int(ok.sum()), (i + 1 + may[ok]).tolist(), strict=True)
+            passed.append(np.stack([apart[ok], np.full(ok.sum(), i), i + 1 + may[ok]]).astype(np.int32))
+    nearest = np.concatenate(passed, axis=1)
+    nearest = nearest[1:, np.argsort(nearest[0], kind="stable")]
     tested = [set(x["failed"] or ()) for x in group]
+    left = root.max() + 1  # components
     up: dict[int, int] = {}
     given: dict[tuple[int, int], int] = {}
 
@@ -255,7 +258,9 @@ def _candidates(group: list[dict], percent: int, quota: int) -> list[tuple[int,
         return r
 
     found = []
-    for _, i, j in sorted(passed):
+    for i, j in zip(*nearest, strict=True):
+        if left < 2:
+            break
         x, y = sorted((top(int(root[i])), top(int(root[j]))))
         one, two = group[i]["class"], group[j]["class"]
         if x == y or two in tested[i]:
@@ -264,6 +269,7 @@ def _candidates(group: list[dict], percent: int, quota: int) -> list[tuple[int,
         given[x, y] = given.get((x, y), 0) + 1
         if given[x, y] >= quota:
             up[x] = y
+            left -= 1
     return found
 
 
