@@ -44,7 +44,7 @@ from .scan import Text, mix, slices, windows
 from .staging import stage
 
 RATIO = 1.5  # of a band's ends
-BLOCK = 1024  # members of a bucket that are compared to as many in one place
+BLOCK = 2048  # members of a bucket that are compared to as many in one place
 MAX_BITS = 1 << 27
 _U = np.uint64
 
