@@ -15,8 +15,10 @@ wherever it occurs (coreference) and without the key nobody can go back.
 
 Surrogates that are not permutations could collide, so all distinct entities of the corpus
 are checked: an entity whose surrogate another entity has too (or that is an entity itself)
-gets another attempt, until none is left. Only the few entities with a second attempt are
-known to every task.
+gets another attempt, in all its spellings, until none is left. Each attempt widens the
+space of names (a syllable more) and of tokens with a prefix (four letters or digits more),
+so that this ends however many there are. Up to ``max_late`` entities with a later attempt
+are known to every task; more are joined by the texts that hold them, with the same result.
 
 DataFrame functions only. Defined results: null texts stay null with no entities; texts
 without an entity stay as they are; equal rows get equal results; other columns are kept,
@@ -25,6 +27,8 @@ but for ``entity_count``, which is new; an empty table stays empty.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,7 +61,10 @@ ANY = r"(?<![\p{L}\p{N}])(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What every entity holds (a title is tried by its initial only); other texts are not searched.
 HINT = "[0-9@]|[" + "".join(sorted({t[0] for g in TITLES.values() for t in g})) + r"]\p{L}{1,9}+\.? \p{Lu}"
 
-MOST_RETRIES = 1 << 14
+MAX_LATE = 1 << 14
+
+#: Fixed value: the country codes of international numbers, none of which begins another.
+COUNTRY = r"^(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 
 
 def _let(value: Column, body) -> Column:
@@ -138,9 +145,14 @@ def _card(e: Column, key: str) -> Column:
 
 
 def _phone(e: Column, key: str) -> Column:
-    head = F.regexp_extract(e, r"^(\+\d{1,3}(?=\D)|\+\d)", 1)
-    parts = F.struct(head.alias("head"), F.substring(e, F.length(head) + 1, F.length(e)).alias("rest"))
-    return _let(parts, lambda x: F.concat(x["head"], _refilled(x["rest"], _permuted_digits(_digits(x["rest"]), key, "phone"))))
+    digits = _digits(e)
+    parts = F.struct(F.regexp_extract(digits, COUNTRY, 1).alias("head"), digits.alias("digits"))
+    rest = lambda x: F.substring(x["digits"], F.length(x["head"]) + 1, F.length(x["digits"]))
+    return _refilled(e, _let(parts, lambda x: F.concat(x["head"], _permuted_digits(rest(x), key, "phone"))))
+
+
+def _octets(e: Column) -> Column:
+    return F.transform(F.split(e, r"\."), lambda x: x.try_cast("long"))
 
 
 def _ip(e: Column, key: str) -> Column:
@@ -150,7 +162,7 @@ def _ip(e: Column, key: str) -> Column:
         x = _permuted(F.get(b, 0) * 256 + F.get(b, 1), F.get(b, 2) * 256 + F.get(b, 3), wide, wide, key, "ip")
         return _let(x, lambda y: F.concat_ws(".", *[v.cast("long").cast("string") for v in (F.floor(y["a"] / 256), y["a"] % 256, F.floor(y["b"] / 256), y["b"] % 256)]))
 
-    return _let(F.transform(F.split(e, r"\."), lambda x: x.try_cast("long")), turned)
+    return _let(_octets(e), turned)
 
 
 #: Letters that stand for letters of the same script and case.
@@ -192,11 +204,22 @@ def _email(e: Column, attempt: Column, key: str) -> Column:
     return F.when((e == F.upper(e)) & (e != known), F.upper(out)).otherwise(F.lower(out))
 
 
+def _token_head(e: Column) -> Column:
+    return F.regexp_extract(e, r"^(AKIA|ASIA|(?:ghp|gho|sk|pk|xoxb|xoxp)[_\-])", 1)
+
+
+def _token_known(e: Column) -> Column:
+    return F.when(_token_head(e) == "", F.lower(e)).otherwise(e)
+
+
 def _token(e: Column, attempt: Column, key: str) -> Column:
-    head = F.regexp_extract(e, r"^(AKIA|ASIA|(?:ghp|gho|sk|pk|xoxb|xoxp)[_\-])", 1)
+    head = _token_head(e)
     rest = F.substring(e, F.length(head) + 1, F.length(e))
-    known = F.when(head == "", F.lower(e)).otherwise(e)
-    return F.concat(head, F.when(head == "", _like(rest, known, attempt, key, True)).otherwise(_like(rest, known, attempt, key)))
+    known = _token_known(e)
+    # a token of marks, or nearly so, has few surrogates or none of its length
+    more = F.substring(F.sha2(F.concat_ws("|", F.lit(key), F.lit("more"), known, attempt.cast("string")), 256), F.lit(1), attempt * 4)
+    more = F.when((attempt > 0) & head.rlike(r"[_\-]\z"), more).otherwise("")
+    return F.concat(head, F.when(head == "", _like(rest, known, attempt, key, True)).otherwise(_like(rest, known, attempt, key)), more)
 
 
 def _name(e: Column, attempt: Column, key: str) -> Column:
@@ -214,7 +237,10 @@ def _name(e: Column, attempt: Column, key: str) -> Column:
         given = F.when((gender == g) & (script == s), pick(values, "given")).otherwise(given)
     family = F.lit("")
     for s, values in SYLLABLES.items():
-        family = F.when(script == s, F.initcap(F.concat(*[pick(values, f"family{i}") for i in range(5)]))).otherwise(family)
+        letters = F.array(*map(F.lit, values))
+        syllable = lambda i: F.element_at(letters, (F.pmod(F.xxhash64(F.lit(key), F.lit("more"), person, attempt, i), F.size(letters)) + 1).cast("int"))  # noqa: E731, B023
+        more = F.when(attempt > 0, F.array_join(F.transform(F.sequence(F.lit(1), attempt), syllable), "")).otherwise("")
+        family = F.when(script == s, F.initcap(F.concat(*[pick(values, f"family{i}") for i in range(5)], more))).otherwise(family)
     full = F.instr(person, " ") > 0
     return F.concat(title, F.lit(" "), F.when(full, F.concat(given, F.lit(" "), family)).otherwise(family))
 
@@ -235,11 +261,19 @@ def surrogate(entity: Column, attempt: Column, key: str) -> Column:
 
 
 def _known(entity: Column) -> Column:
-    """Equal for spellings of one entity."""
+    """Equal for spellings of one entity, as its surrogate takes them: kind and entity."""
 
     def spelt(x: Column) -> Column:
         e, k = x["e"], x["k"]
-        return F.when(k.isin("email", "token"), F.lower(e)).when(k.isin("phone", "card"), F.concat(F.substring(k, 1, 1), _digits(e))).when(k == "name", F.regexp_replace(e, r"^\S+ ", "")).otherwise(e)
+        return F.concat(
+            k,
+            F.lit(" "),
+            F.when(k == "email", F.lower(e))
+            .when(k == "token", _token_known(e))
+            .when(k == "name", F.regexp_replace(e, r"^\S+ ", ""))
+            .when(k == "ip", F.concat_ws(".", F.transform(_octets(e), lambda b: b.cast("string"))))
+            .otherwise(_digits(e)),
+        )
 
     return _let(_let(entity, lambda e: F.struct(e.alias("e"), kind(e).alias("k"))), spelt)
 
@@ -248,41 +282,53 @@ def _found(text: Column) -> Column:
     return F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
-def attempts(entities: DataFrame, key: str, rounds: int = 20) -> dict[str, int]:
-    """The entities (column entity, distinct) that need a later attempt than the first."""
+def attempts(entities: DataFrame, key: str) -> DataFrame | None:
+    """The entities (column entity, distinct) that need a later attempt than the first, and
+    which; None if there are none."""
     known = stage(entities.select("entity", _known(F.col("entity")).alias("known")), "entities")
-    late: dict[str, int] = {}
-    for attempt in range(1, rounds + 1):
-        made = stage(known.withColumn("surrogate", _known(surrogate(F.col("entity"), _attempt(F.col("entity"), late), key))), "surrogates")
+    late = None
+    for attempt in itertools.count(1):
+        tried = known.withColumn("attempt", F.lit(0)) if late is None else known.join(late, "known", "left").withColumn("attempt", F.coalesce("attempt", F.lit(0)))
+        made = stage(tried.select("known", _known(surrogate(F.col("entity"), F.col("attempt"), key)).alias("surrogate")), "surrogates")
+        # permutations neither collide nor depend on the attempt
+        made = made.where(F.substring_index("known", " ", 1).isin("email", "token", "name"))
         shared = made.groupBy("surrogate").agg(F.min("known").alias("low"), F.max("known").alias("high")).where("low <> high").select("surrogate", "low")
-        clash = made.join(shared, "surrogate").where("known <> low").select("entity")
-        # not a permutation, and the surrogate is somebody's entity
-        taken = made.join(known.select(F.col("known").alias("surrogate")).distinct(), "surrogate", "left_semi").where(kind(F.col("entity")).isin("email", "token", "name")).select("entity")
-        again = [r["entity"] for r in clash.unionByName(taken).distinct().limit(MOST_RETRIES + 1).collect()]
-        if not again:
-            return late
-        late |= dict.fromkeys(again, attempt)
-        if len(late) > MOST_RETRIES:
-            raise ValueError("too many surrogates collide: their space is too small for this corpus")
-    raise ValueError("surrogates still collide")
-
-
-def _attempt(entity: Column, late: dict[str, int]) -> Column:
-    if not late:
-        return F.lit(0)
-    table = F.create_map(*[F.lit(x) for kv in sorted(late.items()) for x in kv])
-    return F.coalesce(F.element_at(table, entity), F.lit(0))
-
-
-def replace(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+        clash = made.join(shared, "surrogate").where("known <> low").select("known")
+        taken = made.join(known.select(F.col("known").alias("surrogate")).distinct(), "surrogate", "left_semi").select("known")
+        again = stage(clash.unionByName(taken).distinct(), "again")
+        if again.isEmpty():
+            return None if late is None else stage(known.join(late, "known").select("entity", "attempt"), "late")
+        now = again.withColumn("attempt", F.lit(attempt))
+        late = now if late is None else stage(late.join(again, "known", "left_anti").unionByName(now), "late")
+
+
+def _attempt(entity: Column, table: Column | None) -> Column:
+    return F.lit(0) if table is None else F.coalesce(F.element_at(table, entity), F.lit(0))
+
+
+def _by_text(found: DataFrame, late: DataFrame) -> DataFrame:
+    """For each digest of a text with such entities, their attempts. ``found``: digest, entity."""
+    return found.distinct().join(late, "entity").groupBy("digest").agg(F.map_from_entries(F.collect_list(F.struct("entity", "attempt"))).alias("late_attempts"))
+
+
+def replace(docs: DataFrame, key: str, text: str = "text", max_late: int = MAX_LATE) -> DataFrame:
     """``docs`` with surrogates in the text, and entity_count."""
-    found = docs.select(F.explode(_found(F.col(text))).alias("entity")).distinct()
+    hits = _found(F.col(text))
+    found = docs.select(F.explode(hits).alias("entity")).distinct()
     late = attempts(stage(found, "found"), key)
     out = docs.drop("entity_count")
-    hits = _found(F.col(text))
+    table = None
+    if late is not None and late.count() <= max_late:
+        table = F.create_map(*[F.lit(x) for r in sorted(late.collect()) for x in r])
+    elif late is not None:
+        digest = F.sha2(F.col(text), 256).alias("digest")
+        maps = stage(_by_text(docs.select(digest, F.explode(hits).alias("entity")), late), "late-by-text")
+        columns = out.columns
+        out = out.select("*", digest).join(maps, "digest", "left").select(*columns, "late_attempts")
+        table = F.col("late_attempts")
     out = out.withColumn("entities_in_text", hits)
     gaps = F.split(F.col(text), ANY, -1)
-    fresh = F.transform("entities_in_text", lambda e: surrogate(e, _attempt(e, late), key))
+    fresh = F.transform("entities_in_text", lambda e: surrogate(e, _attempt(e, table), key))
     joined = F.array_join(F.flatten(F.zip_with(gaps, fresh, lambda g, e: F.array(g, F.coalesce(e, F.lit(""))))), "")
     out = out.withColumn(text, F.when(F.size("entities_in_text") > 0, joined).otherwise(F.col(text)))
-    return out.withColumn("entity_count", F.when(F.col(text).isNotNull(), F.size("entities_in_text")).otherwise(0).try_cast("long")).drop("entities_in_text")
+    return out.withColumn("entity_count", F.when(F.col(text).isNotNull(), F.size("entities_in_text")).otherwise(0).try_cast("long")).drop("entities_in_text", "late_attempts")

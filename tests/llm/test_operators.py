@@ -223,6 +223,38 @@ def test_surrogates(spark):
     assert pii.replace(docs.where("false"), "key").count() == 0
 
 
+def test_surrogates_of_spellings(spark):
+    texts = ["1.2.3.4 and 1.2.3.04", "+44 7911 123456, +447911123456 and +44 (7911) 12-34-56", "1 sk_" + "-" * 16, "ghp_AbCdEfGhIjKlMnOp ghp_aBcDeFgHiJkLmNoP 1"]
+    got = {r.doc_id: r.text for r in pii.replace(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), "key").collect()}
+    a, b = got[0].split(" and ")
+    assert a == b and a != "1.2.3.4"
+    digits = {re.sub(r"\D", "", x) for x in re.split(", | and ", got[1])}
+    assert len(digits) == 1 and digits.pop().startswith("44") and re.fullmatch(r"\+44 \d{4} \d{6}, \+44\d{10} and \+44 \(\d{4}\) \d\d-\d\d-\d\d", got[1])
+    assert got[2].startswith("1 sk_-") and got[2] != texts[2]
+    assert len(set(got[3].lower().split())) == 3
+
+
+def test_surrogates_in_a_small_space(spark, monkeypatch):
+    """Names and tokens for which the first attempts have no room, with the attempts known to
+    every task and joined by text."""
+    monkeypatch.setattr(pii, "SYLLABLES", {"latin": ["bar", "ber"], "cyrillic": ["бар"]})
+    names = [f"Herr {a}{b}" for a in "ABCDEFGHIJ" for b in ("aa", "bb", "cc", "dd", "ee", "ff", "gg", "hh")]
+    tokens = ["sk_" + "-" * 15 + c for c in "abcdefghijklmnopqrstuvwxyz"]
+    texts = [", ".join(names[i::7]) + "; " + " ".join(tokens[i::7]) for i in range(7)] * 2 + [None, "", "clean"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    made = []
+    for most in (1 << 14, 0):
+        got = {r.doc_id: r for r in pii.replace(docs, "key", max_late=most).collect()}
+        assert len(got) == len(texts) and [got[i].text for i in (14, 15, 16)] == [None, "", "clean"]
+        assert all(got[i].text == got[i + 7].text for i in range(7))
+        new_names = [x for i in range(7) for x in got[i].text.split("; ")[0].split(", ")]
+        new_tokens = [x for i in range(7) for x in got[i].text.split("; ")[1].split(" ")]
+        assert len(set(new_names)) == len(names) and not set(new_names) & set(names)
+        assert len(set(new_tokens)) == len(tokens) and not set(new_tokens) & set(tokens)
+        made.append([got[i].text for i in range(17)])
+    assert made[0] == made[1]
+
+
 def test_permutations_are_distinct(spark):
     ids = spark.range(10_000)
     four = ids.select(pii._permuted_digits(F.lpad(F.col("id").cast("string"), 4, "0"), "k", "x").alias("d"))
