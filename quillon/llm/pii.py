@@ -1,13 +1,18 @@
 """Surrogates for personal data and secrets.
 
-Entities are found by pattern: e-mail addresses, telephone numbers, IPv4 addresses, payment
-card numbers, secret tokens, and names after a title. Each is replaced by a surrogate of
+Entities are found by pattern: e-mail addresses, telephone numbers (international ones after
+a +, national ones with separators or brackets), IPv4 and IPv6 addresses, payment card
+numbers, secret tokens, and names after a title. Not found are national numbers without any
+separator, which look like any other number, and short IPv6 addresses without a digit
+(``face::add``), which look like code. Each is replaced by a surrogate of
 its own type that depends on a key and on the entity alone, so an entity has one surrogate
 wherever it occurs (coreference) and without the key nobody can go back.
 
 * Digits of telephone and card numbers and the bytes of addresses go through a keyed
   permutation (four Feistel rounds), which never maps two entities to one; separators,
-  country code, and the validity of a card's check digit stay.
+  country code or, without one, the first digit, and the validity of a card's check digit
+  stay. A number with and one without its country code are two entities. IPv6 addresses are
+  written out in full.
 * Tokens and the name part of e-mail addresses keep length, case, script and the places of
   digits and marks; the domain is a reserved example domain with a keyed label.
 * Names keep their title; the replacement has the title's gender and the name's script,
@@ -57,9 +62,22 @@ PATTERNS = {
     "card": r"\d(?:[ \-]?\d){12,18}(?![\p{L}\p{N}])",
     "name": rf"(?:{'|'.join(t for g in TITLES.values() for t in g)})\.? {_NAME}(?: {_NAME})?",
 }
+_HEX = "[0-9A-Fa-f]{1,4}"
+#: After the others, so that what they find stays theirs. National numbers: three, three and
+#: four digits; five pairs; or an area code with 0, with 8 to 15 digits in all. No dates.
+PATTERNS |= {
+    "national": r"(?<!\d[./\-])(?:"
+    r"(?:1[ .\-])?(?:\(\d{3}\)[ .\-]?|\d{3}[ .\-])\d{3}[ .\-]\d{4}"
+    r"|0\d(?:(?: \d\d){4}|(?:\.\d\d){4}|(?:-\d\d){4})"
+    r"|(?=\(?(?:\d[ )/\-]{0,2}){7,14}\d(?!\d))(?:\(0\d{1,5}\)[ /\-]?\d{2,8}|0\d{2,5}[ /\-]\d{2,8}|0\d[ /\-]\d{3,8})(?:[ \-]\d{2,5}){0,4}"
+    r")(?![\p{L}\p{N}])",
+    "ip6": rf"(?<![:.])(?:(?:{_HEX}:){{7}}{_HEX}|(?=[A-Fa-f:]{{0,38}}[0-9])(?:(?:{_HEX}:){{1,7}}:|"
+    + "|".join(rf"(?:{_HEX}:){{1,{7 - n}}}(?::{_HEX}){{1,{n}}}" for n in range(1, 7))
+    + rf"|:(?::{_HEX}){{1,7}}))(?![\p{{L}}\p{{N}}]|:[\p{{L}}\p{{N}}:]|\.\d)",
+}
 ANY = r"(?<![\p{L}\p{N}])(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + ")"
 #: What every entity holds (a title is tried by its initial only); other texts are not searched.
-HINT = "[0-9@]|[" + "".join(sorted({t[0] for g in TITLES.values() for t in g})) + r"]\p{L}{1,9}+\.? \p{Lu}"
+HINT = "[0-9@]|:[0-9A-Fa-f]{1,4}:|(?:ghp|gho|sk|pk|xoxb|xoxp)[_\\-]|[" + "".join(sorted({t[0] for g in TITLES.values() for t in g})) + r"]\p{L}{1,9}+\.? \p{Lu}"
 
 MAX_LATE = 1 << 14
 
@@ -144,9 +162,9 @@ def _card(e: Column, key: str) -> Column:
     return _refilled(e, _let(_let(_digits(e), body_and_last), fresh))
 
 
-def _phone(e: Column, key: str) -> Column:
+def _phone(e: Column, key: str, head: str = COUNTRY) -> Column:
     digits = _digits(e)
-    parts = F.struct(F.regexp_extract(digits, COUNTRY, 1).alias("head"), digits.alias("digits"))
+    parts = F.struct(F.regexp_extract(digits, head, 1).alias("head"), digits.alias("digits"))
     rest = lambda x: F.substring(x["digits"], F.length(x["head"]) + 1, F.length(x["digits"]))
     return _refilled(e, _let(parts, lambda x: F.concat(x["head"], _permuted_digits(rest(x), key, "phone"))))
 
@@ -165,6 +183,27 @@ def _ip(e: Column, key: str) -> Column:
     return _let(_octets(e), turned)
 
 
+def _groups(e: Column) -> Column:
+    """The eight groups of an IPv6 address as numbers."""
+    sides = F.split(e, "::", -1)
+    listed = lambda s: F.filter(F.split(F.coalesce(s, F.lit("")), ":"), lambda g: g != "")
+    parts = F.struct(listed(F.get(sides, 0)).alias("left"), listed(F.get(sides, 1)).alias("right"))
+    full = _let(parts, lambda x: F.concat(x["left"], F.array_repeat(F.lit("0"), 8 - F.size(x["left"]) - F.size(x["right"])), x["right"]))
+    return F.transform(full, lambda g: F.conv(g, 16, 10).try_cast("long"))
+
+
+def _ip6(e: Column, key: str) -> Column:
+    """Four Feistel rounds over the two halves: a bijection."""
+    half = lambda g, at: F.shiftleft(F.get(g, at), 48).bitwiseOR(F.shiftleft(F.get(g, at + 1), 32)).bitwiseOR(F.shiftleft(F.get(g, at + 2), 16)).bitwiseOR(F.get(g, at + 3))
+
+    def turn(x: Column, r: Column) -> Column:
+        return F.struct(x["b"].alias("a"), x["a"].bitwiseXOR(F.xxhash64(F.lit(key), F.lit("ip6"), r, x["b"])).alias("b"))
+
+    turned = lambda g: F.aggregate(F.sequence(F.lit(0), F.lit(3)), F.struct(half(g, 0).alias("a"), half(g, 4).alias("b")), turn)
+    shown = lambda y: F.concat_ws(":", *[F.lower(F.hex(F.shiftrightunsigned(y[h], n).bitwiseAND(F.lit(0xFFFF).cast("long")))) for h in ("a", "b") for n in (48, 32, 16, 0)])
+    return _let(_let(_groups(e), turned), shown)
+
+
 #: Letters that stand for letters of the same script and case.
 _ALPHABETS = (
     ("[0-9]", "0123456789"),
@@ -252,7 +291,9 @@ def surrogate(entity: Column, attempt: Column, key: str) -> Column:
             F.when(k == "email", _email(e, a, key))
             .when(k == "token", _token(e, a, key))
             .when(k == "phone", _phone(e, key))
+            .when(k == "national", _phone(e, key, r"^(\d)"))
             .when(k == "ip", _ip(e, key))
+            .when(k == "ip6", _ip6(e, key))
             .when(k == "name", _name(e, a, key))
             .otherwise(_card(e, key))
         )
@@ -272,6 +313,7 @@ def _known(entity: Column) -> Column:
             .when(k == "token", _token_known(e))
             .when(k == "name", F.regexp_replace(e, r"^\S+ ", ""))
             .when(k == "ip", F.concat_ws(".", F.transform(_octets(e), lambda b: b.cast("string"))))
+            .when(k == "ip6", F.concat_ws(":", F.transform(_groups(e), lambda g: g.cast("string"))))
             .otherwise(_digits(e)),
         )
 

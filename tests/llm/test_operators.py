@@ -255,6 +255,25 @@ def test_surrogates_in_a_small_space(spark, monkeypatch):
     assert made[0] == made[1]
 
 
+def test_surrogates_of_national_numbers_and_ip6(spark):
+    numbers = ["(415) 555-2671", "415-555-2671", "415.555.2671", "1-415-555-2671", "030 1234567", "(030) 123 45 67", "030/1234567", "0171-1234567", "020 7946 0958", "01 23 45 67 89", "01.23.45.67.89", "0761 12 34 56"]
+    six = ["2001:db8::8a2e:370:7334", "2001:0DB8:0:0:0:8a2e:370:7334", "fe80::1", "1:2:3:4:5:6:7::", "::ffff:1:2", "a:b:c:d:e:f:a:b"]
+    plain = ["on 2024-01-02, 01.02.2003, 01-02-2003 and 01/02/2003 14:00", "12:30:45, std::vector, face::add, 00:1a:2b:3c:4d:5e, 3.14159 and 1990-2000", "0.12345678 of 100 000 000, 1,234,567.89 and pages 123-456"]
+    rows = [f"Call {x}, or mail." for x in numbers] + [f"host {x}: down" for x in six] + plain + ["key sk_abcdefghijklmnopqrst"]
+    got = {r.doc_id: r for r in pii.replace(spark.createDataFrame(list(enumerate(rows)), "doc_id int, text string"), "key").collect()}
+    n = len(numbers)
+    for i, x in enumerate(numbers):
+        new = got[i].text[5:-10]
+        assert got[i].entity_count == 1 and new != x and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", x) and re.search(r"\d", new)[0] == re.search(r"\d", x)[0], (x, got[i].text)
+    digits = [re.sub(r"\D", "", got[i].text) for i in range(n)]
+    assert digits[0] == digits[1] == digits[2] and digits[4] == digits[5] == digits[6] and len(set(digits)) == n - 5
+    for i, x in enumerate(six):
+        assert got[n + i].entity_count == 1 and re.fullmatch(r"host (?:[0-9a-f]{1,4}:){7}[0-9a-f]{1,4}: down", got[n + i].text) and x.lower() not in got[n + i].text, got[n + i].text
+    assert got[n].text == got[n + 1].text and len({got[n + i].text for i in range(6)}) == 5
+    assert [got[n + 6 + i].text for i in range(3)] == plain
+    assert got[n + 9].entity_count == 1 and "abcdefgh" not in got[n + 9].text
+
+
 def test_permutations_are_distinct(spark):
     ids = spark.range(10_000)
     four = ids.select(pii._permuted_digits(F.lpad(F.col("id").cast("string"), 4, "0"), "k", "x").alias("d"))
