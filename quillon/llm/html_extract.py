@@ -3,10 +3,14 @@
 A page is cut into blocks at block-level tags. What lies in navigation, headers, footers,
 forms, scripts and the like, or in an element whose class, id or role says so, is left out.
 The first pass decides blocks by length, link density and stop-word density: long blocks
-with stop words are text, blocks of links are not, and short or unclear ones stay open. In
-the second pass an open block takes the label of its nearest decided neighbours (of both if
-they agree, else of the nearer). Where a page marks its article, only blocks within it can
-be text, and there an open block is, unless it stands between blocks of links.
+with stop words are text, blocks of links are not, and short or unclear ones stay open.
+Stop words say nothing about scripts other than Latin, so there length and link density
+decide. In the second pass an open block takes the label of its nearest decided neighbours
+(of both if they agree, else of the nearer). Where a page marks its article, only blocks
+within it can be text, and there an open block is, unless it is short or has many links and
+stands between blocks of links.
+Where the first pass decides no block as text (another language, or short blocks only), the
+open blocks of few links are text: the long ones, or all if none is long.
 
 Defined results: null and empty pages, and pages without text, give the empty string; rows
 are handled each by itself; nothing is cut at any length, and the scan is linear.
@@ -41,7 +45,7 @@ STOP_WORDS = frozenset(
     che di e gli il nel per sono una não uma os as dos da do em het een van niet zijn""".split()
 )
 _RAW = {"script", "style", "textarea", "title", "noscript", "template", "svg", "iframe", "object", "canvas", "xmp"}
-_LEFT_OUT = {"nav", "footer", "aside", "form", "button", "select", "dialog", "menu", "head", "fieldset", "datalist", "figcaption", "audio", "video", "map"}
+_LEFT_OUT = {"nav", "footer", "aside", "form", "button", "select", "dialog", "menu", "head", "fieldset", "datalist", "audio", "video", "map"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "rb", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "br"}
 _WORDS_OUT = {
@@ -53,6 +57,8 @@ _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|$|=)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _NAME = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
+_LETTERS = re.compile(r"[\W\d_]+")
+_LATIN = re.compile("[A-Za-z\u00aa\u00ba\u00c0-\u024f\u1e00-\u1eff]+")
 _END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in _RAW}
 
 
@@ -150,6 +156,12 @@ def blocks(page: str) -> list[Block]:
     return found
 
 
+def _other_script(text: str) -> bool:
+    """Whether most letters are of a script that no language of the stop words has."""
+    letters = _LETTERS.sub("", text)
+    return 2 * len(_LATIN.sub("", letters)) > len(letters)
+
+
 def _first(b: Block) -> bool | None:
     if b.link > MUCH_LINK:
         return False
@@ -159,6 +171,8 @@ def _first(b: Block) -> bool | None:
     stops = sum(w.strip("\"'.,;:!?()[]#*$%&|<>-") in STOP_WORDS for w in words)
     if stops >= STOPS_TEXT * len(words):
         return b.link <= MUCH_LINK
+    if b.link <= SOME_LINK:
+        return True if not stops and _other_script(b.text) else None
     return None if b.main or stops else False
 
 
@@ -167,6 +181,10 @@ def classify(found: list[Block]) -> list[Block]:
     if any(b.main for b in found):
         found = [b for b in found if b.main]
     labels = [_first(b) for b in found]
+    if True not in labels:
+        few = [x is None and b.link <= SOME_LINK for b, x in zip(found, labels, strict=True)]
+        long = [x and len(b.text) >= SHORT for b, x in zip(found, few, strict=True)]
+        labels = [True if y else x for x, y in zip(labels, long if any(long) else few, strict=True)]
     before, last = [], None
     for i, x in enumerate(labels):
         before.append(last)
@@ -183,7 +201,7 @@ def classify(found: list[Block]) -> list[Block]:
             p, q = before[i], after[i]
             near = [labels[x] for x in (p, q) if x is not None]
             if b.main:
-                b.good = near != [False, False]
+                b.good = near != [False, False] or (len(b.text) >= SHORT and b.link <= SOME_LINK)
             elif len(near) < 2 or near[0] == near[1]:
                 b.good = bool(near) and near[0]
             else:

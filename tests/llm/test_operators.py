@@ -334,6 +334,27 @@ def test_html():
     assert html_extract.extract("<article>" + "<p>a b</p>" * 20_000).count("\n") == 19_999
 
 
+def test_html_of_any_language():
+    texts = {
+        "ru": "Вчера утром старый рыбак вышел к берегу реки, чтобы проверить сети, которые поставил накануне вечером.",
+        "zh": "昨天早上，老渔夫来到河边检查他前一天晚上撒下的渔网。" * 4,
+        "ja": "昨日の朝、年老いた漁師は前の晩に仕掛けた網を確かめるために川岸へ出かけました。" * 3,
+        "ar": "في صباح أمس خرج الصياد العجوز إلى ضفة النهر ليتفقد الشباك التي ألقاها في مساء اليوم السابق هناك.",
+        "fi": "Eilen aamulla vanha kalastaja lähti joen rannalle tarkistamaan verkkonsa, jotka hän laski edellisenä iltana.",
+    }
+    links = "<div><a href=x>Links und</a> <a href=y>mehr Links</a></div>"
+    english = "The cat and the dog of the house are in the garden with a friend, and it is a nice day for them."
+    for name, t in texts.items():
+        assert html_extract.extract(f"<nav>x</nav>{links}<h1>{t[:20]}</h1><p>{t}</p>{links}<p>{t}</p>{links}").endswith(f"{t}\n{t}"), name
+        assert html_extract.extract(f"<p>{t}</p>") == t
+        assert html_extract.extract(f"<article>{links}<p>{t}</p>{links}<p>{english}</p></article>") == f"{t}\n{english}", name
+    assert html_extract.extract(f"{links}<h1>Short</h1><p>Two short lines.</p>{links}<p>No more.</p>{links}") == "Short\nTwo short lines.\nNo more."
+    assert html_extract.extract(f"<article>{links}<p>Short.</p>{links}</article>") == "Short."
+    assert html_extract.extract(links * 3) == ""
+    figure = f"<p>{english}</p><figure><img src=x><figcaption>A cat.</figcaption></figure><p>{english}</p>"
+    assert html_extract.extract(f"<article>{figure}</article>") == html_extract.extract(figure) == f"{english}\nA cat.\n{english}"
+
+
 def test_html_query(spark, sf_dir):
     import html
 
