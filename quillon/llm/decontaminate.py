@@ -7,8 +7,8 @@ scanned once, and a match's position is the index of a word, whose place in the
 text is known.
 
 The benchmark is read in blocks of ``max_windows`` windows (usually there is one), so that
-an automaton and the broadcast of it stay bounded; each block scans all documents, and the
-hits of several blocks are united by document.
+an automaton and the broadcast of it stay bounded; each block scans all documents, and a row
+carries the hits of the blocks before along, so no rows are ever taken together.
 
 Defined results: null texts have no words; an item without words has no window, one with
 fewer than ``window`` words is one window; equal items are all reported; rows of documents
@@ -24,10 +24,11 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scan import ALNUM, Text, owners, slices
+from .staging import stage
 
 WINDOW = 10
 MAX_WINDOWS = 1 << 20
@@ -105,8 +106,20 @@ def _digest(ids: set[str]) -> str:
     return hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
 
 
-def _scan(docs: DataFrame, key: str, text: str, shared, cover: bool) -> DataFrame:
-    """Per row: n_words, the spans hit as word and byte offsets, and the items' ids."""
+def _united(spans: list[dict]) -> list[dict]:
+    out: list[dict] = []
+    for s in sorted(spans, key=lambda s: s["word"]):
+        if out and s["word"] <= out[-1]["end_word"]:
+            out[-1] = out[-1] | {x: max(out[-1][x], s[x]) for x in ("end_word", "end_byte")}
+        else:
+            out.append(s)
+    return out
+
+
+def _scan(docs: DataFrame, key: str, text: str, shared, last: bool) -> DataFrame:
+    """Per row: n_words, the spans hit as word and byte offsets, and the items' ids, united
+    with those of the scan before, if ``docs`` are its rows. The last scan drops the text."""
+    before = [c for c in docs.columns if c not in (key, text)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a = shared.value
@@ -131,10 +144,17 @@ def _scan(docs: DataFrame, key: str, text: str, shared, cover: bool) -> DataFram
                     turn = np.flatnonzero(mine[1:] != mine[:-1]).reshape(-1, 2)
                     spans.append([{"word": int(x), "end_word": int(y), "byte": int(starts[first[i] + x] - t.offs[i]), "end_byte": int(ends[first[i] + y - 1] - t.offs[i])} for x, y in turn])
                     ids.append(sorted({a.ids[k] for k in doc[i]}))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.concatenate(n) if n else [], pa.int64()), pa.array(spans, SPANS), pa.array(ids, pa.list_(pa.string()))], ["key", "n_words", "spans", "item_ids"])
+            if before:
+                spans = [_united(x + y) if x and y else x or y for x, y in zip(b.column("spans").to_pylist(), spans, strict=True)]
+                ids = [sorted({*x, *y}) if x and y else x or y for x, y in zip(b.column("item_ids").to_pylist(), ids, strict=True)]
+            made = [pa.array(np.concatenate(n) if n else [], pa.int64()), pa.array(spans, SPANS), pa.array(ids, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([b.column(0), *([] if last else [b.column(1)]), *made], names)
 
+    names = ["key", *([] if last else ["text"]), "n_words", "spans", "item_ids"]
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(run, f"key {kind}, n_words long, spans array<struct<word:long,end_word:long,byte:long,end_byte:long>>, item_ids array<string>").withColumnRenamed("key", key)
+    carried = "" if last else "text string, "
+    found = docs.select(key, text, *before).mapInArrow(run, f"key {kind}, {carried}n_words long, spans array<struct<word:long,end_word:long,byte:long,end_byte:long>>, item_ids array<string>")
+    return found.withColumnsRenamed({"key": key} if last else {"key": key, "text": text})
 
 
 SPANS = pa.list_(pa.struct([(x, pa.int64()) for x in ("word", "end_word", "byte", "end_byte")]))
@@ -147,27 +167,13 @@ def _one_or_all(docs: DataFrame, benchmark: DataFrame, item: str, item_text: str
 def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
     """Of every row: key, n_words, n_hit, n_items, spans, item_ids, items_sha256,
     contaminated. ``spans`` are the maximal runs of hit words with their byte offsets in
-    the original text. With several blocks, rows of equal key and text are united."""
+    the original text."""
     blocks = _one_or_all(docs, benchmark, item, item_text, window, max_windows)
-    if len(blocks) == 1:
-        found = _scan(docs, key, text, blocks[0], True)
-    else:
-        found = None
-        for i, shared in enumerate(blocks):
-            part = _scan(docs, key, text, shared, True).withColumn("block", F.lit(i))
-            found = part if found is None else found.unionByName(part)
-        # a row of this block and the same row of another: equal key and number among equals
-        count = F.count(F.when(F.col("block") == 0, 1)).alias("copies")
-        flat = F.flatten(F.collect_list("spans"))
-        found = found.groupBy(key, "n_words").agg(count, flat.alias("parts"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"))
-
-        def unite(acc: Column, s: Column) -> Column:
-            before = F.element_at(acc, -1)
-            wider = F.named_struct(F.lit("word"), before["word"], F.lit("end_word"), F.greatest(before["end_word"], s["end_word"]), F.lit("byte"), before["byte"], F.lit("end_byte"), F.greatest(before["end_byte"], s["end_byte"]))
-            return F.when((F.size(acc) > 0) & (s["word"] <= before["end_word"]), F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(wider))).otherwise(F.concat(acc, F.array(s)))
-
-        merged = F.aggregate(F.array_sort("parts"), F.expr("cast(array() as array<struct<word:long,end_word:long,byte:long,end_byte:long>>)"), unite)
-        found = found.select(key, "n_words", merged.alias("spans"), "item_ids", F.explode(F.sequence(F.lit(1), F.greatest("copies", F.lit(1)))).alias("copy")).drop("copy")
+    found = docs.select(key, text)
+    for i, shared in enumerate(blocks):
+        found = _scan(found, key, text, shared, i == len(blocks) - 1)
+        if i < len(blocks) - 1:  # so that a task holds one automaton
+            found = stage(found, "scanned")
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end_word"] - s["word"])
     return found.select(key, "n_words", hit.alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"), "spans", "item_ids", F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 

@@ -98,6 +98,22 @@ def test_decontaminate(spark, odd):
     assert decontaminate.find(df.where("false"), bench).count() == 0
 
 
+def test_decontaminate_rows_of_one_key(spark):
+    """Rows without or with the same key and of as many words stay apart, over any blocks."""
+    r = random.Random(8)
+    text = lambda: " ".join(r.choice("abcdefgh") + str(r.randrange(90)) for _ in range(14))
+    items = [(i, text()) for i in range(6)]
+    docs = [(k, t) for k in (None, 7) for t in (items[0][1], text(), items[4][1], text(), text(), items[0][1])]
+    docs += [(8, f"{items[1][1]} {items[4][1]}"), (9, "")]
+    bench = spark.createDataFrame(items, "item_id int, text string")
+    df = table(spark, docs)
+    rows = [sorted(map(repr, decontaminate.find(df, bench, max_windows=most).collect())) for most in (1 << 20, 20)]
+    assert rows[0] == rows[1] and len(rows[0]) == len(docs)
+    got = decontaminate.find(df, bench, max_windows=20).where("contaminated")
+    assert sorted(str(x.doc_id) for x in got.collect()) == ["7"] * 3 + ["8"] + ["None"] * 3
+    assert [(len(x.spans), x.n_hit) for x in got.where("doc_id = 8").collect()] == [(1, 28)]
+
+
 # --- Jaccard join
 
 
