@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 import struct
 import zlib
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -20,6 +21,7 @@ from pyspark.sql.functions import pandas_udf
 
 BITS = 22  # of a weight's fraction
 LOBES = 3
+PIECE = 64
 
 
 def _kernel(x: float) -> float:
@@ -51,8 +53,17 @@ def _byte(x: np.ndarray) -> np.ndarray:
 
 def resized(image: np.ndarray, height: int, width: int) -> np.ndarray:
     h, w, _ = image.shape
-    x = _byte(np.einsum("ij,yjc->yic", weights(w, width), image.astype(np.int64)))
-    return _byte(np.einsum("ij,jxc->ixc", weights(h, height), x)).astype(np.uint8)
+    # integers below 2 ** 53: doubles hold them exactly, and their products are faster
+    x = _byte(np.matmul(weights(w, width).astype(float), image.astype(float)).astype(np.int64))
+    y = weights(h, height).astype(float) @ x.reshape(h, -1).astype(float)
+    return _byte(y.astype(np.int64)).reshape(height, width, -1).astype(np.uint8)
+
+
+def in_pieces(batches: Iterator[pd.Series], of: Callable) -> Iterator[pd.Series]:
+    """``of`` each value, given back some images at a time: a batch of them is large."""
+    for s in batches:
+        for i in range(0, len(s), PIECE):
+            yield s.iloc[i : i + PIECE].map(of)
 
 
 def resize(image: Column, old: tuple[int, int, int], new: tuple[int, int]) -> Column:
@@ -60,8 +71,8 @@ def resize(image: Column, old: tuple[int, int, int], new: tuple[int, int]) -> Co
     null, give null."""
 
     @pandas_udf("binary")
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: resized(np.frombuffer(x, np.uint8).reshape(old), *new).tobytes() if x is not None and len(x) == math.prod(old) else None)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        return in_pieces(batches, lambda x: resized(np.frombuffer(x, np.uint8).reshape(old), *new).tobytes() if x is not None and len(x) == math.prod(old) else None)
 
     return run(image)
 
@@ -125,15 +136,15 @@ def from_png(png: bytes) -> tuple[bytes, int, int]:
 
 def encode_png(image: Column, height: int, width: int) -> Column:
     @pandas_udf("binary")
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: None if x is None else to_png(x, height, width))
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        return in_pieces(batches, lambda x: None if x is None else to_png(x, height, width))
 
     return run(image)
 
 
 def decode_png(png: Column) -> Column:
     @pandas_udf("binary")
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: None if x is None else from_png(x)[0])
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        return in_pieces(batches, lambda x: None if x is None else from_png(x)[0])
 
     return run(png)

@@ -12,8 +12,10 @@ Views that make episodes of tables:
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -291,6 +293,46 @@ def png_roundtrip(spark, sf_dir):
     return pixels.select("img", (images.decode_png(images.encode_png(F.col("image"), 16, 16)) == F.col("image")).alias("same"), F.length("image").cast("long").alias("n_bytes"))
 
 
+#: The source's and the target's real shapes.
+SOURCE, TARGET = (64, 64, 3), (128, 128, 3)
+
+
+def _frames(seed: Column, shape: tuple[int, int, int]) -> Column:
+    """The same formula as ``_pixels``, for images of real size."""
+
+    @F.pandas_udf("binary")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        y, x, c = np.indices(shape)
+        return images.in_pieces(batches, lambda k: ((31 * k + 7 * y + 13 * x + 17 * c) % 256).astype(np.uint8).tobytes())
+
+    return run(seed)
+
+
+def _image_steps(spark, sf_dir, shape: tuple[int, int, int]) -> DataFrame:
+    """Every step of the conversations with an image."""
+    steps = conversation_steps(spark, sf_dir)
+    return steps.withColumn("image", _frames(F.col("conv_id") + F.col("step_index"), shape))
+
+
+def lanczos_resize_steps(spark, sf_dir):
+    steps = _image_steps(spark, sf_dir, SOURCE)
+    out = steps.select("conv_id", "step_index", images.resize(F.col("image"), SOURCE, TARGET[:2]).alias("bytes"))
+    return out.select("conv_id", "step_index", F.length("bytes").cast("long").alias("n_bytes"), F.lower(F.hex("bytes")).alias("h")).select("conv_id", "step_index", "n_bytes", F.sha2("h", 256).alias("sha256"))
+
+
+def png_roundtrip_steps(spark, sf_dir):
+    steps = _image_steps(spark, sf_dir, TARGET)
+    same = images.decode_png(images.encode_png(F.col("image"), *TARGET[:2])) == F.col("image")
+    return steps.select("conv_id", "step_index", same.alias("same"), F.length("image").cast("long").alias("n_bytes"))
+
+
+def image_strip_steps(spark, sf_dir):
+    steps = profile.strided(_image_steps(spark, sf_dir, SOURCE), 4)
+    frames = steps.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("step_index", "image"))).alias("frames"))
+    strip = F.lower(F.hex(images.strip(F.col("frames.image"), SOURCE)))
+    return frames.select("conv_id", F.size("frames").cast("long").alias("n_frames"), F.sha2(strip, 256).alias("sha256"))
+
+
 def synthetic_source(spark, sf_dir):
     s = synthetic.episodes(spark, {"train": 20, "val": 5}, images=None)
     ok = F.forall("action", lambda x: (x >= 0) & (x < 1)) & (F.size("action") == 10) & (F.size("state") == 10)
@@ -300,7 +342,8 @@ def synthetic_source(spark, sf_dir):
 ALL = (
     step_index, episode_length, first_last_terminal, terminal_reward, temporal_stride, last_instruction_caption, last_step, nest_unnest_roundtrip, nested_flags, episode_metadata, zero_step_episodes,
     empty_episodes_nested, duplicate_keys, skip_examples, skipped_count, split_assign, dataset_summary, event_index, slice_head, slice_mid, slice_tail, slice_stride, target_action, copy_fields, check_shape, check_range_uniform,
-    check_range_per_dim, violations_report, pass_verdict, ragged_vectors, vector_mean, embedding_mean, vector_histogram, vector_nonfinite, sample_episodes, sampled_steps, hash_embed_distinct, image_strip, lanczos_resize, png_roundtrip, synthetic_source,
+    check_range_per_dim, violations_report, pass_verdict, ragged_vectors, vector_mean, embedding_mean, vector_histogram, vector_nonfinite, sample_episodes, sampled_steps, hash_embed_distinct, image_strip, lanczos_resize, png_roundtrip,
+    image_strip_steps, lanczos_resize_steps, png_roundtrip_steps, synthetic_source,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in ALL}
 
@@ -337,6 +380,21 @@ wide AS (SELECT img, y, o AS x, c, {byte} AS v FROM px JOIN weight ON i = px.x G
 SELECT img, o::BIGINT AS y, x::BIGINT AS x, c::BIGINT AS c, {byte} AS v FROM wide JOIN weight ON i = wide.y GROUP BY img, o, x, c"""
 
 
+def _resize_steps_sql() -> str:
+    w = images.weights(SOURCE[0], TARGET[0])
+    rows = ", ".join(f"({o}, {i}, {int(w[o, i])}::BIGINT)" for o in range(TARGET[0]) for i in range(SOURCE[0]) if w[o, i])
+    half, full = 1 << (images.BITS - 1), 1 << images.BITS
+    byte = f"least(255, greatest(0, floor((sum(w * v) + {half})::DOUBLE / {full})))::BIGINT"
+    return f"""
+WITH weight(o, i, w) AS (VALUES {rows}),
+seeds AS (SELECT DISTINCT (conv_id + turn) % 256 AS img FROM conversations),
+px AS (SELECT img, y, x, c, (31 * img + 7 * y + 13 * x + 17 * c) % 256 AS v FROM seeds, range({SOURCE[0]}) a(y), range({SOURCE[1]}) b(x), range(3) d(c)),
+wide AS (SELECT img, y, o AS x, c, {byte} AS v FROM px JOIN weight ON i = px.x GROUP BY img, y, o, c),
+tall AS (SELECT img, o AS y, x, c, {byte} AS v FROM wide JOIN weight ON i = wide.y GROUP BY img, o, x, c),
+done AS (SELECT img, count(*)::BIGINT AS n_bytes, sha256(string_agg(lpad(lower(hex(v)), 2, '0'), '' ORDER BY y, x, c)) AS sha256 FROM tall GROUP BY img)
+SELECT conv_id, turn AS step_index, n_bytes, sha256 FROM conversations JOIN done ON img = (conv_id + turn) % 256"""
+
+
 _DIGIT = "(strpos('0123456789abcdef', substr(h, {0}, 1)) - 1)"
 _CODE = f"({_DIGIT.format(1)} * 4096 + {_DIGIT.format(2)} * 256 + {_DIGIT.format(3)} * 16 + {_DIGIT.format(4)})"
 _SAMPLE = "SELECT conv_id FROM (SELECT DISTINCT conv_id FROM conversations) ORDER BY md5('{0}|' || conv_id), conv_id LIMIT {1}"
@@ -390,6 +448,11 @@ px AS (SELECT conv_id, string_agg({_PX}, '' ORDER BY y, turn, x, c) AS strip_hex
 SELECT conv_id, n_frames, strip_hex, caption FROM px JOIN (SELECT conv_id, count(*) FILTER (WHERE turn % 4 = 0) AS n_frames, arg_max(text, turn) || ' (temp. downsampled 4x)' AS caption FROM s GROUP BY conv_id) USING (conv_id)""",
     "lanczos_resize": _resize_sql(),
     "png_roundtrip": "SELECT n_nationkey::BIGINT AS img, true AS same, 768::BIGINT AS n_bytes FROM nation",
+    "image_strip_steps": f"""
+SELECT conv_id, count(DISTINCT turn)::BIGINT AS n_frames, sha256(string_agg({_PX}, '' ORDER BY y, turn, x, c)) AS sha256
+FROM conversations, range({SOURCE[0]}) a(y), range({SOURCE[1]}) b(x), range(3) d(c) WHERE turn % 4 = 0 GROUP BY conv_id""",
+    "lanczos_resize_steps": _resize_steps_sql(),
+    "png_roundtrip_steps": "SELECT conv_id, turn AS step_index, true AS same, 49152::BIGINT AS n_bytes FROM conversations",
     "synthetic_source": "SELECT * FROM (VALUES ('train', 20::BIGINT, 200::BIGINT, true), ('val', 5::BIGINT, 50::BIGINT, true)) t(split, n_episodes, n_steps, in_range)",
 }
 
