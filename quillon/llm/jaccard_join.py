@@ -4,28 +4,42 @@ A document's set holds the 64-bit hashes of its distinct shingles. In a size ban
 is XORed into a sketch of m words of 64 bits: each shingle changes the one word that its
 hash names. A shingle that only one of two sets holds changes one word, so the number of
 words in which two sketches differ (their Hamming distance) is at most the size of the
-symmetric difference, which the similarity bounds by d in the band. With m > d words, two
-linked documents agree in a word (pigeonhole); words in which no shingle fell say nothing
-and are left out as long as enough others must agree, else they take part. So all links
-lie within buckets of equal (band, place, word).
-
-Buckets are never expanded into pairs. Equal sets are one class from the start. In each
-bucket the other classes are compared to one pivot, first to the best pivot of each class
-only, and those that link form components, which need no more pairs. What remains are the
-buckets in which several components meet: each set of members is looked at once, in blocks
-of bounded size, where members of different components whose one-bit parity sketches are
-near enough (their Hamming distance bounds the difference too) are candidates, nearest
-first and few for each two components; the whole sets verify them, and what fails brings
-on the next candidates, until components are one or no pair is left.
-So no link between different texts is lost, up to collisions of 64-bit hashes.
-
-Texts are scanned, never shuffled: once for the sizes, once for the buckets, once for the
-members of buckets with several classes (found by a Bloom filter) and once for the sets of
-these classes.
+symmetric difference, which the similarity bounds by d in the band. With m >= d + t words,
+two linked documents agree in t words (pigeonhole); words in which no shingle fell say
+nothing and are left out as long as t others must agree, else they take part. So linked
+documents meet in t buckets of equal (band, place, word).
+
+Buckets are never expanded into pairs. Equal sets are one class from the start. A task
+combines what it holds before anything is shuffled: of a bucket with several of its classes
+one, the pivot, goes on, and the others are noted as its star; in the shuffle the pivots of
+all tasks meet, packed into arrays, and form a star again. So a bucket of any size costs
+one row for each member, and one for each task where it meets. Classes with fewer than t
+buckets then have no partner, and of the others' buckets the t - 1 largest are not needed:
+documents that only share a passage fall out here, however many they are.
+
+In each bucket that is left, all classes are compared to one, by one-bit parity sketches
+first (their Hamming distance bounds the difference too) and then by the whole sets, and
+links form components. Where a bucket still has members of several components, these are
+compared by their parity sketches, in blocks of bounded size: the members outside of the
+largest component with each other and with those in it, never those within it. The
+candidates, nearest first and few for each two components, are verified, and what fails
+brings on the next ones, until components are one or no pair is left. So no link between
+different texts is lost, up to collisions of 64-bit hashes.
+
+What remains quadratic is the comparison of sketches in a bucket in which many documents
+agree in t words and more and yet are not linked; its rows are those outside of the largest
+component times the blocks of the bucket.
+
+Texts are scanned, never shuffled: once for sizes and parity sketches, once for the buckets
+and then for the sets to verify, those of classes with a near partner, which are found by a
+Bloom filter of at most ``MAX_BITS`` (above some ten million of them it lets more sets
+through; the result stays the same).
 
 Defined results: a null text or one without words has the empty set, and is linked with
-nothing; a text of fewer words than a shingle is one shingle; equal rows are linked; other
-columns are not looked at; an empty table gives an empty table.
+nothing; a text of fewer words than a shingle is one shingle; equal rows are linked; very
+long texts are taken whole; other columns are not looked at, whatever their names; keys may
+be of any type that has an order, a null key is after all others; an empty table gives an
+empty table.
 """
 
 from __future__ import annotations
@@ -35,16 +49,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from . import bloom
 from .components import components
 from .scan import Text, mix, slices, windows
-from .staging import stage
+from .staging import free_name, stage, temporary
 
 RATIO = 1.5  # of a band's ends
-BLOCK = 2048  # members of a bucket that are compared to as many in one place
+BLOCK = 1024  # members of a bucket that are compared to as many: a few MB of parity sketches
+COMBINED = 1 << 19  # bucket keys that a task combines at a time
+PART = 1 << 20  # bucket keys that meet in a task
 MAX_BITS = 1 << 27
 _U = np.uint64
 
@@ -75,6 +93,7 @@ class Band:
     high: int  # one past
     widest: int  # the largest set that can link with one of the band
     d: int
+    t: int  # words in which two linked sets agree at least
     m: int
 
 
@@ -84,16 +103,18 @@ def bands(percent: int, up_to: int) -> list[Band]:
         high = max(low + 1, int(low * RATIO))
         widest = (high - 1) * 100 // percent
         d = (100 - percent) * (high - 1 + widest) // (100 + percent)
-        m = d + 1
-        while m - 1 - d < 1.5 * m * np.exp(-low / m) and m < 2 * d + 2:
+        t = 1 + d // 8
+        m = d + t
+        while m - d - t < 1.5 * m * np.exp(-low / m) and m < 2 * d + t + 1:
             m += 1
-        out.append(Band(low, high, widest, d, m))
+        out.append(Band(low, high, widest, d, t, m))
         low = high
     return out
 
 
 def bucket_keys(s: np.ndarray, all_bands: list[Band]) -> np.ndarray:
-    """Of each band in which the set can have a partner, its sketch's words with their places."""
+    """Of each band in which the set can have a partner, its sketch's words with their places.
+    The lowest six bits are the band."""
     out = []
     for i, b in enumerate(all_bands):
         if not (b.low <= len(s) <= b.widest) or not b.d:  # no difference allowed: an equal set
@@ -102,10 +123,10 @@ def bucket_keys(s: np.ndarray, all_bands: list[Band]) -> np.ndarray:
         run = np.flatnonzero(np.append(True, place[1:] != place[:-1]))  # the set is sorted, so are the places
         word = np.bitwise_xor.reduceat(mix(s + _U(0x9E3779B97F4A7C15)), run)
         at = place[run]
-        if b.m - len(at) > b.m - 1 - b.d:  # that many empty words could be all that agree
+        if b.m - len(at) > b.m - b.d - b.t:  # of so many empty words too few others need agree
             none = np.setdiff1d(np.arange(b.m, dtype=_U), at)
             at, word = np.append(at, none), np.append(word, np.zeros(len(none), _U))
-        out.append(mix(mix(word) + mix(at + _U(i << 32))))
+        out.append(mix(mix(word) + mix(at + _U(i << 32))) & ~_U(63) | _U(i))
     return np.concatenate(out) if out else np.zeros(0, _U)
 
 
@@ -118,15 +139,22 @@ def parity(s: np.ndarray) -> bytes:
     return np.packbits(np.bincount((s & _U(bits - 1)).astype(np.int64), minlength=bits) & 1 != 0).tobytes()
 
 
+def _folded(x: np.ndarray, size: int) -> np.ndarray:
+    """Positions are the low bits of a hash: folding halves keeps them apart by the lower bits."""
+    while len(x) > size:
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return x
+
+
+def apart(a: bytes, b: bytes) -> int:
+    """The sketches' Hamming distance, at most the size of the symmetric difference."""
+    size = min(len(a), len(b))
+    return int(np.bitwise_count(_folded(np.frombuffer(a, np.uint8), size) ^ _folded(np.frombuffer(b, np.uint8), size)).sum())
+
+
 def near(a: bytes, b: bytes, most: int) -> bool:
     """Whether the sketches' Hamming distance allows a difference of at most ``most``."""
-    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    # positions are the low bits of a hash: folding halves keeps them apart by the lower bits
-    while len(x) > len(y):
-        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
-    while len(y) > len(x):
-        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
-    return int(np.bitwise_count(x ^ y).sum()) <= most
+    return apart(a, b) <= most
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -135,7 +163,7 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def _scan(docs: DataFrame, key: str | None, text: str, k: int, rows, schema: str) -> DataFrame:
-    """``rows(id, set)`` of each document, as columns."""
+    """``rows(ids, sets)`` of all documents of a partition, as columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -145,73 +173,192 @@ def _scan(docs: DataFrame, key: str | None, text: str, k: int, rows, schema: str
 
 
 def classes(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
-    """key, size and class (the set's fingerprint) of each document."""
+    """key, size, class (the set's fingerprint) and parity sketch of each document."""
 
     def rows(ids: pa.Array, all_sets: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        got = [(len(s), fingerprint(s)) for s in all_sets]
-        yield pa.RecordBatch.from_arrays([ids, *(pa.array(x, pa.int64()) for x in (zip(*got, strict=True) if got else ([], [])))], ["key", "size", "class"])
+        got = [(len(s), fingerprint(s), parity(s)) for s in all_sets]
+        size, of, bits = zip(*got, strict=True) if got else ((), (), ())
+        yield pa.RecordBatch.from_arrays([ids, pa.array(size, pa.int64()), pa.array(of, pa.int64()), pa.array(bits, pa.binary())], ["key", "size", "class", "parity"])
 
-    return _scan(docs, key, text, k, rows, f"key {docs.schema[key].dataType.simpleString()}, size long, class long").withColumnRenamed("key", key)
+    return _scan(docs, key, text, k, rows, f"key {docs.schema[key].dataType.simpleString()}, size long, class long, parity binary")
 
 
-def _members(docs: DataFrame, text: str, k: int, all_bands: list[Band], only=None) -> DataFrame:
-    """bucket and class, of each document; of the buckets in the filter ``only``, if given."""
+_PACKED = "part int, star boolean, buckets binary, pivots binary, classes binary"
+_STARS = "bucket long, a long, b long"
 
-    def rows(_: pa.Array, all_sets: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        keys, ids, held = [], [], 0
-        seen = set()
 
-        def batch() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, _U), *keys]).view(np.int64)), pa.array(np.repeat(np.array(ids, np.int64), [len(x) for x in keys]))], ["bucket", "class"])
+def _grouped(buckets: np.ndarray, who: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each bucket and its least ``who``; and of the others, the number of the bucket, and who."""
+    order = np.argsort(buckets)
+    buckets, who = buckets[order], who[order]
+    start = np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1])[: len(buckets)])
+    least = np.minimum.reduceat(who, start) if len(start) else who
+    number = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(buckets))))
+    other = who != least[number]
+    return buckets[start], least, number[other], who[other]
 
-        for s in all_sets:
-            f = fingerprint(s)
-            if f in seen:  # equal sets that come together
-                continue
-            seen.add(f)
-            x = bucket_keys(s, all_bands)
-            if only is not None:
-                x = x[bloom.contains(only.value, x)]
-            keys.append(x)
-            ids.append(f)
-            held += len(x)
-            if held > 1 << 16:
-                yield batch()
-                keys, ids, held = [], [], 0
-        yield batch()
-
-    return _scan(docs, None, text, k, rows, "bucket long, class long")
+
+def stars(docs: DataFrame, text: str, k: int, all_bands: list[Band], keys: int) -> DataFrame:
+    """bucket, a and b: of each bucket of several classes a tree of pairs of them, made of
+    stars. ``keys``: about the number of rows before anything is combined."""
+    tasks = max(1, -(-keys // PART))
+    shift = 64 - max(1, (4 * tasks - 1).bit_length())  # the parts of a bucket's hash
+
+    def combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        ids: list[int] = []
+        seen: set[int] = set()
+        n = turn = 0
+        for b in batches:
+            for _, _, t in slices(b.column(0)):
+                for s in sets(t, k):
+                    f = int(fingerprint(s))
+                    if f in seen:  # equal sets that come together
+                        continue
+                    seen.add(f)
+                    x = bucket_keys(s, all_bands)
+                    held.append(x)
+                    ids.append(f)
+                    n += len(x)
+                    if n > COMBINED:
+                        yield packed(held, ids, turn)
+                        held, ids, seen, n, turn = [], [], set(), 0, turn + 1
+        if n:
+            yield packed(held, ids, turn)
+
+    def packed(held: list[np.ndarray], ids: list[int], turn: int) -> pa.RecordBatch:
+        of = np.array(ids, np.int64)
+        # each time another class is the least, so that none is the pivot of very many
+        dice = mix(of.view(_U) + _U(ids[0] & 0xFFFFFFFF) + _U(turn))
+        order = np.argsort(dice)
+        rank = np.empty(len(of), np.int64)
+        rank[order] = np.arange(len(of))
+        buckets, pivots, number, others = _grouped(np.concatenate(held), np.repeat(rank, [len(x) for x in held]))
+        pivots, others = of[order][pivots], of[order][others]
+        part = (buckets >> _U(shift)).astype(np.int64)
+        found = np.unique(part)
+        cut = np.searchsorted(part, np.append(found, found[-1:] + 1))
+        out = [(int(p), False, buckets[i:j].tobytes(), b"", pivots[i:j].tobytes()) for p, i, j in zip(found, cut, cut[1:], strict=False)]
+        for i in range(0, len(others), 1 << 14):  # any part will do
+            at = number[i : i + (1 << 14)]
+            out.append((int(dice[(i >> 14) % len(dice)] >> _U(shift)), True, buckets[at].tobytes(), pivots[at].tobytes(), others[i : i + (1 << 14)].tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), (pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["part", "star", "buckets", "pivots", "classes"])
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        for b in batches:
+            for p, star, *blobs in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                buckets, pivots, of = (np.frombuffer(x, np.int64) for x in blobs)
+                if star:
+                    yield rows(buckets, pivots, of)
+                else:
+                    parts.setdefault(p, []).append((buckets, of))
+        for p in list(parts):
+            got = parts.pop(p)
+            bucket, of = (np.concatenate([x[i] for x in got]) for i in (0, 1))
+            buckets, pivots, number, others = _grouped(bucket, of)
+            yield rows(buckets[number], pivots[number], others)
+
+    def rows(*columns: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], ["bucket", "a", "b"])
+
+    return docs.select(text).mapInArrow(combined, _PACKED).repartition(tasks, "part").mapInArrow(met, _STARS)
+
+
+def _several(members: DataFrame) -> DataFrame:
+    """The members (bucket, class, ...) of buckets of two classes and more."""
+    return members.join(members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"), "bucket", "left_semi")
+
+
+def sharing(tree: DataFrame, all_bands: list[Band]) -> DataFrame:
+    """bucket and class of the classes that can have a partner: two that are linked are both
+    in t buckets of a band, so a class needs t of them, and without its t - 1 largest ones
+    the two still meet."""
+    least = F.element_at(F.array(*[F.lit(b.t) for b in all_bands] or [F.lit(1)]), (F.col("band") + 1).cast("int"))
+    both = tree.select("bucket", F.col("a").alias("class")).unionByName(tree.select("bucket", F.col("b").alias("class")))
+    members = stage(both.distinct(), "members").withColumn("band", F.col("bucket").bitwiseAND(F.lit(63).cast("long")))
+    of_class = Window.partitionBy("class", "band")  # as many rows as a sketch has words at most
+    ranked = members.join(members.groupBy("bucket").agg(F.count("*").alias("n")), "bucket")
+    ranked = ranked.select("bucket", "class", "band", F.row_number().over(of_class.orderBy("n", "bucket")).alias("rank"), F.count("*").over(of_class).alias("all"))
+    fewer = stage(ranked.where(F.col("rank") <= F.col("all") - least + 1).select("bucket", "class"), "members")
+    return stage(_several(fewer), "members")
+
+
+class Sets:
+    """The sets of classes, scanned from the texts when they are first asked for."""
+
+    def __init__(self, docs: DataFrame, text: str, k: int):
+        self.docs, self.text, self.k = docs, text, k
+        self.held: DataFrame | None = None
+
+    def of(self, pairs: DataFrame) -> DataFrame:
+        spark = self.docs.sparkSession
+        wanted = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
+        if self.held is not None:
+            wanted = wanted.join(self.held, "class", "left_anti")
+        wanted = stage(wanted, "wanted")
+        n = wanted.count()
+        if n or self.held is None:
+            bits = spark.sparkContext.broadcast(bloom.build(wanted, "class", bloom.size_for(n, MAX_BITS)))
+            found = _sets_of(self.docs, self.text, self.k, bits)
+            found = stage(found if self.held is None else found.join(self.held, "class", "left_anti"), "sets")
+            bits.destroy()
+            self.held = found if self.held is None else self.held.unionByName(found)
+        return self.held
 
 
 def _sets_of(docs: DataFrame, text: str, k: int, wanted) -> DataFrame:
-    """class, size, parity and set of the classes in the filter ``wanted``, one row each."""
+    """class and set of the classes in the filter ``wanted``, one row each."""
 
     def rows(_: pa.Array, all_sets: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, np.ndarray] = {}
+        found: dict[int, bytes] = {}
+        held = 0
         for s in all_sets:
-            f = fingerprint(s)
+            f = int(fingerprint(s))
             if len(s) and f not in found and bloom.contains(wanted.value, np.array([f]).view(_U))[0]:
-                found[f] = s
-        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array([len(s) for s in found.values()], pa.int64()), pa.array([parity(s) for s in found.values()], pa.binary()), pa.array([s.tobytes() for s in found.values()], pa.binary())], ["class", "size", "parity", "hashes"])
+                found[f] = s.tobytes()
+                held += len(found[f])
+                if held > 1 << 22:
+                    yield batch(found)
+                    found, held = {}, 0
+        yield batch(found)
+
+    def batch(found: dict[int, bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], ["class", "hashes"])
+
+    return _scan(docs, None, text, k, rows, "class long, hashes binary").dropDuplicates(["class"])
 
-    return _scan(docs, None, text, k, rows, "class long, size long, parity binary, hashes binary").dropDuplicates(["class"])
 
+def _both(pairs: DataFrame, of: DataFrame) -> DataFrame:
+    """The pairs (a, b) with the other columns of ``of`` (class, ...) for each."""
+    for x in ("a", "b"):
+        pairs = pairs.join(of.select(*[F.col(c).alias(x if c == "class" else f"{c}_{x}") for c in of.columns]), x)
+    return pairs
 
-def _verified(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+
+def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and parity sketches allow to be linked, and their distance."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            d = np.array([apart(x, y) for x, y in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True)], np.int64)
+            ok = d <= b.column(2).to_numpy() * (100 - percent) // (100 + percent)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(d)], ["a", "b", "apart"]).filter(pa.array(ok, pa.bool_()))
+
+    sized = _both(pairs, sketches).where(f"100 * least(size_a, size_b) >= {percent} * greatest(size_a, size_b)")
+    return sized.select("a", "b", (F.col("size_a") + F.col("size_b")).alias("sizes"), "parity_a", "parity_b").mapInArrow(run, "a long, b long, apart long")
+
+
+def _verified(pairs: DataFrame, sets_of: Sets, percent: int) -> DataFrame:
     """The pairs (a, b) of classes that are linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ok = []
-            for n, m, p, q, x, y in zip(*(b.column(i).to_pylist() for i in range(2, 8)), strict=True):
-                ok.append(near(p, q, (100 - percent) * (n + m) // (100 + percent)) and linked(np.frombuffer(x, _U), np.frombuffer(y, _U), percent))
+            ok = [linked(np.frombuffer(x, _U), np.frombuffer(y, _U), percent) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
             yield b.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
-    a = held.select(F.col("class").alias("a"), F.col("size").alias("size_a"), F.col("parity").alias("parity_a"), F.col("hashes").alias("hashes_a"))
-    b = held.select(F.col("class").alias("b"), F.col("size").alias("size_b"), F.col("parity").alias("parity_b"), F.col("hashes").alias("hashes_b"))
-    sizes = pairs.join(a.select("a", "size_a"), "a").join(b.select("b", "size_b"), "b")
-    fit = sizes.where(f"100 * least(size_a, size_b) >= {percent} * greatest(size_a, size_b)").select("a", "b")
-    return fit.join(a, "a").join(b, "b").select("a", "b", "size_a", "size_b", "parity_a", "parity_b", "hashes_a", "hashes_b").mapInArrow(run, "a long, b long")
+    both = _both(pairs.select("a", "b"), sets_of.of(pairs)).select("a", "b", "hashes_a", "hashes_b")
+    return stage(both.mapInArrow(run, "a long, b long"), "linked")
 
 
 def _rooted(rows: DataFrame, roots: DataFrame, column: str, name: str) -> DataFrame:
@@ -221,34 +368,40 @@ def _rooted(rows: DataFrame, roots: DataFrame, column: str, name: str) -> DataFr
 
 def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     """``roots`` after more links between classes."""
+    if links.isEmpty():
+        return roots
     up = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-    return components(up.unionByName(links))
-
-
-def _candidates(group: list[dict], percent: int, quota: int) -> list[tuple[int, int]]:
-    """Untested pairs of members with different roots that could be linked, nearest first:
-    of two components, ``quota`` pairs at most, which then count as one."""
-    size = np.array([x["size"] for x in group])
-    root = np.unique([x["root"] for x in group], return_inverse=True)[1]
-    shortest = min(len(x["parity"]) for x in group)
-    bits = np.zeros((len(group), shortest), np.uint8)
-    for i, x in enumerate(group):
-        p = np.frombuffer(x["parity"], np.uint8)
-        while len(p) > shortest:
-            p = p[: len(p) // 2] ^ p[len(p) // 2 :]
-        bits[i] = p
-    passed = [np.zeros((3, 0), np.int32)]
-    for i in range(len(group) - 1):
-        a, b = np.minimum(size[i], size[i + 1 :]), np.maximum(size[i], size[i + 1 :])
-        may = np.flatnonzero((root[i + 1 :] != root[i]) & (100 * a >= percent * b))
-        if len(may):
-            apart = np.bitwise_count(bits[i + 1 + may] ^ bits[i]).sum(1, dtype=np.int64)
-            ok = apart <= (100 - percent) * (a + b)[may] // (100 + percent)
-            passed.append(np.stack([apart[ok], np.full(ok.sum(), i), i + 1 + may[ok]]).astype(np.int32))
+    return components(up.unionByName(links.select("a", "b")))
+
+
+def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """bucket, class, root, and of the bucket: n members, ``main`` (the root that most of them
+    have) and its number ``most``; for buckets whose members have several roots."""
+    rooted = _rooted(members.select("bucket", "class"), roots, "class", "root")
+    by_root = rooted.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    about = by_root.groupBy("bucket").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("roots")).where("roots > 1")
+    return rooted.join(about.select("bucket", "n", F.col("top.root").alias("main"), F.col("top.n").alias("most")), "bucket")
+
+
+def candidates(of: np.ndarray, root: np.ndarray, size: np.ndarray, sketches: list[bytes], side: np.ndarray, percent: int, quota: int) -> tuple[list[tuple[int, int]], bool]:
+    """Pairs of classes with different roots that could be linked, nearest first: of two
+    components ``quota`` pairs at most, which then count as one; and whether others were left
+    out. Members of side 1 meet those of side 0 only; side 2 meets all."""
+    root = np.unique(root, return_inverse=True)[1]
+    shortest = min(map(len, sketches))
+    bits = np.array([_folded(np.frombuffer(p, np.uint8), shortest) for p in sketches])
+    passed = [np.zeros((3, 0), np.int64)]
+    for i in np.flatnonzero(side != 1):
+        a, b = np.minimum(size[i], size), np.maximum(size[i], size)
+        may = (root != root[i]) & (100 * a >= percent * b)
+        may &= (side == 1) if side[i] == 0 else (np.arange(len(of)) > i) | (side == 1)
+        j = np.flatnonzero(may)
+        if len(j):
+            d = np.bitwise_count(bits[j] ^ bits[i]).sum(1, dtype=np.int64)
+            j, d = j[ok := d <= (100 - percent) * (a + b)[j] // (100 + percent)], d[ok]
+            passed.append(np.stack([d, np.full(len(j), i), j]))
     nearest = np.concatenate(passed, axis=1)
-    nearest = nearest[1:, np.argsort(nearest[0], kind="stable")]
-    tested = [set(x["failed"] or ()) for x in group]
-    left = root.max() + 1  # components
+    nearest = nearest[1:, np.lexsort((nearest[2], nearest[1], nearest[0]))]
     up: dict[int, int] = {}
     given: dict[tuple[int, int], int] = {}
 
@@ -257,130 +410,154 @@ def _candidates(group: list[dict], percent: int, quota: int) -> list[tuple[int,
             r = up[r]
         return r
 
-    found = []
-    for i, j in zip(*nearest, strict=True):
-        if left < 2:
-            break
+    found, more = [], False
+    for i, j in zip(*nearest.tolist(), strict=True):
         x, y = sorted((top(int(root[i])), top(int(root[j]))))
-        one, two = group[i]["class"], group[j]["class"]
-        if x == y or two in tested[i]:
+        if x == y:
+            more = True
             continue
+        one, two = int(of[i]), int(of[j])
         found.append((min(one, two), max(one, two)))
         given[x, y] = given.get((x, y), 0) + 1
         if given[x, y] >= quota:
             up[x] = y
-            left -= 1
-    return found
-
-
-def _meetings(members: DataFrame, held: DataFrame, failed: DataFrame | None, percent: int, quota: int) -> DataFrame:
-    """bucket and candidate pairs (a, b) of members (bucket, class, root) of one bucket with
-    different roots. Large buckets are cut into blocks, and each block meets each; a group
-    holds two blocks at most and compares parity sketches."""
-    many = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    mixed = members.join(many.select("bucket", F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks")), "bucket").join(held.select("class", "size", "parity"), "class")
-    if failed is None:
-        mixed = mixed.withColumn("failed", F.array().cast("array<bigint>"))
-    else:
-        both = failed.select("a", "b").unionByName(failed.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        mixed = mixed.join(both.groupBy(F.col("a").alias("class")).agg(F.collect_set("b").alias("failed")), "class", "left")
-    mixed = mixed.withColumn("block", F.expr("pmod(xxhash64(class), blocks)")).withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
-    grouped = mixed.groupBy("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).agg(F.collect_list(F.struct("class", "root", "size", "parity", "failed")).alias("all"))
+    return found, more
+
+
+def _meetings(mixed: DataFrame, sketches: DataFrame, percent: int, quota: int) -> DataFrame:
+    """bucket, candidate pairs (a, b) of members of one bucket with different roots, and more,
+    whether pairs were left out. Large buckets are cut into blocks: the members outside of
+    the main component meet each other and those within it, block by block."""
+    blocks = F.when(F.col("n") <= BLOCK, 0)
+    cut = mixed.withColumns({"outer": F.coalesce(blocks, F.ceil((F.col("n") - F.col("most")) / BLOCK)).cast("long"), "inner": F.coalesce(blocks, F.ceil(F.col("most") / BLOCK)).cast("long"), "is_main": F.col("root") == F.col("main")})
+    own = lambda n: F.expr(f"pmod(xxhash64(class), {n})")
+    place = lambda kind, i, j, side: F.struct(F.lit(kind).alias("kind"), i.cast("long").alias("i"), j.cast("long").alias("j"), side.cast("int").alias("side"))
+    with_outer = F.transform(F.expr("sequence(0L, outer - 1)"), lambda o: place(1, F.least(own("outer"), o), F.greatest(own("outer"), o), F.lit(2)))
+    with_inner = F.transform(F.expr("sequence(0L, inner - 1)"), lambda o: place(2, own("outer"), o, F.lit(0)))
+    from_main = F.transform(F.expr("sequence(0L, outer - 1)"), lambda o: place(2, o, own("inner"), F.lit(1)))
+    places = F.when(F.col("outer") == 0, F.array(place(0, F.lit(0), F.lit(0), F.lit(2)))).when(F.col("is_main"), from_main).otherwise(F.concat(with_outer, with_inner))
+    dealt = cut.join(sketches, "class").select("bucket", F.explode(places).alias("p"), "class", "root", "size", "parity").select("bucket", "p.*", "class", "root", "size", "parity")
+    group = ["bucket", "kind", "i", "j"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        at = None
         for b in batches:
-            for i in range(b.num_rows):
-                found = _candidates(b.column(1)[i].as_py(), percent, quota)
-                at = pa.array([b.column(0)[i].as_py()] * len(found), pa.int64())
-                yield pa.RecordBatch.from_arrays([at, *(pa.array([x[k] for x in found], pa.int64()) for k in (0, 1))], ["bucket", "a", "b"])
-
-    return grouped.select("bucket", "all").mapInArrow(run, "bucket long, a long, b long")
-
-
-def _resolved(members: DataFrame, roots: DataFrame, held: DataFrame, percent: int) -> DataFrame:
-    """``roots`` after all links within the buckets. A round tests the nearest candidates
-    between components that meet; where a candidate fails, the bucket comes again with four
-    times as many for each two components, so there are few rounds, and in the last all
-    that were tested are linked or nothing is left to test."""
-    failed, quota = None, 1
-    while True:
-        met = stage(_meetings(_rooted(members, roots, "class", "root"), held, failed, percent, quota), "met")
-        pairs = met.select("a", "b").distinct()
-        good = stage(_verified(pairs, held, percent), "verified")
+            lists = [b.column(i).to_pylist() for i in range(9)]
+            for row in zip(*lists, strict=True):
+                if row[:4] != at:
+                    yield from found(at, held)
+                    at, held = row[:4], []
+                held.append(row[4:])
+        yield from found(at, held)
+
+    def found(at: tuple, held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        if len(held) < 2:
+            return
+        side, of, root, size, bits = zip(*held, strict=True)
+        pairs, more = candidates(*(np.array(x, np.int64) for x in (of, root, size)), list(bits), np.array(side), percent, quota)
+        if pairs:
+            yield pa.RecordBatch.from_arrays([pa.array([at[0]] * len(pairs), pa.int64()), *(pa.array([x[k] for x in pairs], pa.int64()) for k in (0, 1)), pa.array([more] * len(pairs))], ["bucket", "a", "b", "more"])
+
+    packed = dealt.select(*group, "side", "class", "root", "size", "parity").repartition(*group).sortWithinPartitions(*group, "class")
+    return packed.mapInArrow(run, "bucket long, a long, b long, more boolean")
+
+
+def _resolved(members: DataFrame, roots: DataFrame, sketches: DataFrame, tested: DataFrame, sets_of: Sets, percent: int) -> DataFrame:
+    """``roots`` after all links within the buckets. ``tested``: pairs that need no more test."""
+    members = stage(_mixed(members, roots), "mixed")
+    # of the buckets with equal members, one
+    same = members.groupBy("bucket").agg(F.first("n").alias("n"), F.expr("bit_xor(xxhash64(class))").alias("x"), F.expr("bit_xor(xxhash64(class, 7))").alias("y"))
+    members = stage(members.join(same.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket"), "bucket", "left_semi"), "members")
+    quota = 4
+    while not members.isEmpty():
+        met = stage(_meetings(members, sketches, percent, quota), "met")
+        pairs = stage(met.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+        good = _verified(stage(_near(pairs, sketches, percent), "near"), sets_of, percent)
         roots = _merged(roots, good)
-        bad = stage(pairs.join(good, ["a", "b"], "left_anti"), "failed")
-        if bad.isEmpty():
-            return roots
-        members = stage(members.join(met.join(bad, ["a", "b"], "left_semi").select("bucket").distinct(), "bucket", "left_semi"), "members")
-        failed = bad if failed is None else stage(failed.unionByName(bad), "failed")
-        quota *= 4
+        tested = stage(tested.unionByName(pairs), "tested")
+        # a bucket of which pairs were left out for others that then failed comes again
+        again = met.where("more").join(good, ["a", "b"], "left_anti").select("bucket").distinct()
+        members = stage(_mixed(members.join(again, "bucket", "left_semi"), roots), "members")
+        quota *= 16
+    return roots
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 3, percent: int = 90) -> DataFrame:
     """Of each row: key, size (of its set), class, and root, which is equal for all rows
     that links connect (null for an empty set)."""
     spark = docs.sparkSession
-    share = spark.sparkContext.broadcast
-    known = stage(classes(docs, key, text, k), "classes")
-    largest = known.agg(F.max("size").alias("n")).first()["n"] or 0
-    all_bands = bands(percent, largest)
-
-    # buckets of two classes and more, with the smallest of their classes as pivot
-    pivots = _members(docs, text, k, all_bands).groupBy("bucket").agg(F.min("class").alias("pivot"), F.max("class").alias("last")).where("pivot <> last").select("bucket", "pivot")
-    pivots = stage(pivots, "pivots")
-    only = share(bloom.build(pivots, "bucket", bloom.size_for(pivots.count(), MAX_BITS)))
-    members = _members(docs, text, k, all_bands, only).distinct().join(pivots, "bucket")
-    # of the buckets with equal members, one
-    members = stage(members, "members")
-    same = members.groupBy("bucket", "pivot").agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(class))").alias("x"), F.expr("bit_xor(xxhash64(class, 7))").alias("y"))
-    firsts = same.groupBy("pivot", "n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket")
-    members = stage(members.join(firsts, "bucket", "left_semi"), "members")
-
-    wanted = members.select("class").distinct()
-    wanted = share(bloom.build(wanted, "class", bloom.size_for(wanted.count(), MAX_BITS)))
-    held = stage(_sets_of(docs, text, k, wanted), "sets")
-
-    star = members.where("class <> pivot").select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct()
-    first = star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    roots = components(_verified(first, held, percent))
-    rest = star.join(first, ["a", "b"], "left_anti")
-    rest = _rooted(_rooted(rest, roots, "a", "root_a"), roots, "b", "root_b").where("root_a <> root_b").select("a", "b")
-    roots = _merged(roots, _verified(rest, held, percent))
-    roots = _resolved(members.select("bucket", "class"), roots, held, percent)
-    out = _rooted(known, roots, "class", "root")
-    return out.withColumn("root", F.when(F.col("size") > 0, F.col("root")))
+    with temporary(spark):
+        known = stage(classes(docs, key, text, k), "classes")
+        largest = known.agg(F.max("size").alias("n")).first()["n"] or 0
+        all_bands = bands(percent, largest)
+        used = [b for b in all_bands if b.d]
+        count = sum((F.sum(F.when(F.col("size").between(b.low, b.widest), b.m).otherwise(0)) for b in used), F.lit(0))
+        keys = known.agg(count.cast("long").alias("n")).first()["n"] or 0
+
+        tree = stage(stars(docs, text, k, all_bands, keys), "stars")
+        members = sharing(tree, all_bands)
+        once = known.where("size > 0").select("class", "size", "parity").dropDuplicates(["class"])
+        sketches = stage(once.join(members.select("class").distinct(), "class", "left_semi"), "sketches")
+        pivots = members.groupBy("bucket").agg(F.min("class").alias("pivot"))
+        star = members.join(pivots, "bucket").where("class <> pivot")
+        tested = stage(star.select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct(), "tested")
+        close = stage(_near(tested, sketches, percent), "near")
+
+        sets_of = Sets(docs, text, k)
+        sets_of.of(close)
+        first = stage(close.groupBy(F.col("b").alias("other")).agg(F.min_by("a", F.struct("apart", "a")).alias("a")).select("a", F.col("other").alias("b")), "first")
+        roots = components(_verified(first, sets_of, percent))
+        rest = close.join(first, ["a", "b"], "left_anti")
+        rest = stage(_rooted(_rooted(rest, roots, "a", "root_a"), roots, "b", "root_b").where("root_a <> root_b").select("a", "b"), "rest")
+        roots = _merged(roots, _verified(rest, sets_of, percent))
+        roots = _resolved(members, roots, sketches, tested, sets_of, percent)
+        out = _rooted(known.select(F.col("key").alias(key), "size", "class"), roots, "class", "root")
+        out = stage(out.withColumn("root", F.when(F.col("size") > 0, F.col("root"))), "joined", keep=True)
+    return out
 
 
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 3, percent: int = 90) -> DataFrame:
     """Of each row: key, size, and component, the smallest key that links reach from it."""
-    found = stage(join(docs, key, text, k, percent), "joined")
+    found = join(docs, key, text, k, percent)
     low = found.where("root IS NOT NULL").groupBy("root").agg(F.min(key).alias("component"))
     return found.join(low, "root", "left").select(key, "size", F.coalesce("component", key).alias("component"))
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` without those that have a row of smaller key in their group.
-    (Rows of equal key stay or go together.)"""
-    found = groups(docs, key, text, k, percent)
-    gone = stage(found.where(F.col("component") < F.col(key)).select(key).distinct(), "dropped")
-    return _without(docs, gone, key)
-
-
-def _without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
-    """Anti-join without moving texts: only rows that a Bloom filter of the keys suspects
-    are shuffled."""
+    """The rows of ``docs``, one of each group: that of the smallest key (nulls last). Of
+    rows of one key, each is judged by its own text; of rows of one key and equal sets one
+    stays. Texts are moved only of rows whose key a Bloom filter suspects."""
     spark = docs.sparkSession
-    bits = bloom.size_for(gone.count(), MAX_BITS)
-    hashed = gone.select(F.xxhash64(key).alias("h"))
-    have = spark.sparkContext.broadcast(bloom.build(hashed, "h", bits))
     names = docs.columns
-
-    def run(batches: Iterator[pa.RecordBatch], want: bool) -> Iterator[pa.RecordBatch]:
+    of, h, again = free_name(names, "class"), free_name(names, "hash"), free_name(names, "again")
+    with temporary(spark):
+        found = join(docs, key, text, k, percent).where("root IS NOT NULL")
+        place = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("class").alias("class"))
+        rows = found.groupBy("root", place.alias("place")).agg((F.count("*") > 1).alias("again"))
+        best = rows.groupBy("root").agg(F.min("place").alias("best"))
+        marked = rows.join(best, "root").withColumn("again", F.when(F.col("place") == F.col("best"), F.when(F.col("again"), True)).otherwise(False))
+        marked = marked.where("again IS NOT NULL").select(F.col("place.key").alias("marked_key"), F.col("place.class").alias("marked_class"), F.col("again").alias(again))
+        marked = stage(marked, "marked", keep=True)
+    hashes = marked.select(F.xxhash64("marked_key").alias("h"))
+    have = spark.sparkContext.broadcast(bloom.build(hashes, "h", bloom.size_for(marked.count(), MAX_BITS)))
+
+    def hits(b: pa.RecordBatch) -> pa.Array:
+        return pa.array(bloom.contains(have.value, b.column(len(names)).to_numpy().view(_U)))
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            hit = bloom.contains(have.value, b.column(len(names)).to_numpy().view(_U))
-            yield b.select(range(len(names))).filter(pa.array(hit == want))
+            yield b.select(range(len(names))).filter(pc.invert(hits(b)))
 
-    with_hash = docs.withColumn("h_of_key", F.xxhash64(key))
-    clean = with_hash.mapInArrow(lambda x: run(x, False), docs.schema)
-    suspect = with_hash.mapInArrow(lambda x: run(x, True), docs.schema)
-    return clean.unionByName(suspect.join(gone, key, "left_anti").select(names))
+    def suspect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            b = b.filter(hits(b)).select(range(len(names)))
+            ids = [fingerprint(s) for _, _, t in slices(b.column(names.index(text))) for s in sets(t, k)]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.int64())], [*names, of])
+
+    with_hash = docs.withColumn(h, F.xxhash64(key))
+    suspects = with_hash.mapInArrow(suspect, StructType([*docs.schema.fields, StructField(of, LongType())]))
+    judged = suspects.join(marked, F.col(key).eqNullSafe(F.col("marked_key")) & (F.col(of) == F.col("marked_class")), "left")
+    stay = judged.where(F.col(again).isNull()).select(names)
+    repeated = judged.where(F.col(again)).groupBy(key, of).agg(F.min_by(F.struct(*names), F.xxhash64(text)).alias(h)).select(f"{h}.*")
+    return with_hash.mapInArrow(clean, docs.schema).unionByName(stay).unionByName(repeated)

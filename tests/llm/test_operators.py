@@ -131,7 +131,7 @@ def near_copies(seed, families=6, members=9):
     return out
 
 
-@pytest.mark.parametrize(("k", "percent"), [(3, 90), (5, 80)])
+@pytest.mark.parametrize(("k", "percent"), [(3, 90), (5, 80), (1, 100), (2, 50)])
 def test_jaccard_groups(spark, odd, k, percent, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BLOCK", 4)
     texts = near_copies(k * percent) + [t for _, t in odd[0]]
@@ -150,6 +150,52 @@ def test_keep_first(spark):
     assert jaccard_join.keep_first(docs.where("false")).count() == 0
 
 
+def test_keep_first_by_row(spark):
+    """Rows of one key are judged by their own texts; of equal rows one stays."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(1, a), (5, a), (5, b), (5, f"{b} more"), (2, c), (2, c.upper()), (2, c), (7, ""), (7, None), (None, d), (None, d), (None, f"{d} end"), (8, f"{a} x"), (None, "alone here")]
+    docs = spark.createDataFrame([(i, t, 0, "x", True) for i, t in rows], "doc_id long, text string, class int, hash string, again boolean")
+    out = jaccard_join.keep_first(docs)
+    got = sorted((str(r.doc_id), (r.text or "").lower()[:3]) for r in out.collect())
+    assert got == sorted([("1", "a0 "), ("5", "b0 "), ("2", "c0 "), ("7", ""), ("7", ""), ("None", "d0 "), ("None", "alo")])
+    assert out.columns == docs.columns
+    strings = docs.withColumn("doc_id", F.concat(F.lit("k"), "doc_id"))
+    assert jaccard_join.keep_first(strings).count() == len(got)
+
+
+def test_shared_passages_are_no_links(spark, monkeypatch):
+    """Many documents with one long passage and texts of their own, and a few near copies of
+    some: only these are linked, and few buckets of the others are left to be compared."""
+    r = random.Random(11)
+    own = lambda n: " ".join(f"o{r.randrange(10**6)}" for _ in range(n))
+    passage = own(50)
+    texts = [f"{own(r.randrange(80, 120))} {passage} {own(r.randrange(80, 120))}" for _ in range(150)]
+    texts += [" ".join(w for i, w in enumerate(t.split()) if i != 20 + j) for j, t in enumerate(texts[:6])]
+    met = []
+    old = jaccard_join._meetings
+    monkeypatch.setattr(jaccard_join, "_meetings", lambda mixed, *x: met.append(mixed.count()) or old(mixed, *x))
+    got = {x.doc_id: x.component for x in jaccard_join.groups(table(spark, list(enumerate(texts))), k=5, percent=80).collect()}
+    assert got == {i: i if i < 150 else i - 150 for i in range(156)}
+    assert sum(met) < len(texts)
+
+
+def test_candidates_of_blocks():
+    """Blocks of two sides compare across only; the quota bounds the pairs of two components."""
+    import numpy as np
+
+    r = np.random.Generator(np.random.PCG64(1))
+    base = r.integers(0, 2**64, 300, np.uint64)
+    members = [np.unique(np.append(base, r.integers(0, 2**64, 3, np.uint64))) for _ in range(12)]
+    size, bits, of = np.array([len(x) for x in members]), [jaccard_join.parity(x) for x in members], np.arange(12)
+    every = jaccard_join.candidates(of, of, size, bits, np.full(12, 2), 90, 1 << 30)
+    assert sorted(every[0]) == [(i, j) for i in range(12) for j in range(i + 1, 12)] and not every[1]
+    sides = (of >= 4).astype(int)
+    across = jaccard_join.candidates(of, np.where(of < 4, of, 99), size, bits, sides, 90, 1 << 30)
+    assert sorted(across[0]) == [(i, j) for i in range(4) for j in range(4, 12)]
+    few = jaccard_join.candidates(of, of, size, bits, np.full(12, 2), 90, 1)
+    assert len(few[0]) == 11 and few[1]
+
+
 def test_buckets_miss_no_link():
     """Two sets within the bound always share a bucket, however their difference falls."""
     import numpy as np
@@ -163,7 +209,8 @@ def test_buckets_miss_no_link():
                 for d in (1, n * (100 - percent) // (100 + percent), n * (100 - percent) // 100):
                     other = np.unique(np.append(a[rng.permutation(len(a))[: len(a) - d // 2]], rng.integers(0, 2**64, d - d // 2, np.uint64)))
                     if len(other) and jaccard_join.linked(a, other, percent) and len(np.setxor1d(a, other)):
-                        assert len(np.intersect1d(jaccard_join.bucket_keys(a, b), jaccard_join.bucket_keys(other, b)))
+                        both = np.intersect1d(jaccard_join.bucket_keys(a, b), jaccard_join.bucket_keys(other, b))
+                        assert any((both & np.uint64(63) == i).sum() >= x.t for i, x in enumerate(b) if x.d)
                         p, q = jaccard_join.parity(a), jaccard_join.parity(other)
                         assert jaccard_join.near(p, q, len(np.setxor1d(a, other)))
 
