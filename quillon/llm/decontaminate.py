@@ -12,7 +12,9 @@ carries the hits of the blocks before along, so no rows are ever taken together.
 
 Defined results: null texts have no words; an item without words has no window, one with
 fewer than ``window`` words is one window; equal items are all reported; rows of documents
-are judged each by itself; an empty benchmark hits nothing.
+are judged each by itself, also if they are equal; very long texts are scanned whole; other
+columns are not looked at by ``find``, and kept by ``remove``, whatever their names; an empty
+table or benchmark gives no rows and no hits.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scan import ALNUM, Text, owners, slices
+from .scan import ALNUM, Text, owners, pieces
 from .staging import stage
 
 WINDOW = 10
@@ -89,15 +91,19 @@ class Automaton:
 
 
 def _blocks(benchmark: DataFrame, key: str, text: str, window: int, most: int) -> Iterator[list]:
+    """Items of about ``most`` words together. A longer item is cut, and each part has the
+    words that the windows beginning in it need."""
     block, n = [], 0
     for r in benchmark.select(F.col(key).cast("string").alias("k"), F.col(text).alias("t")).toLocalIterator():
         words = _WORD.findall((r["t"] or "").encode().lower())
-        if r["k"] is not None and words:
-            block.append((r["k"], words))
-            n += len(words)
-        if n >= most:
-            yield block
-            block, n = [], 0
+        for i in range(0, len(words) if r["k"] is not None else 0, most):
+            part = words[i : i + most + window - 1]
+            if not i or len(part) >= window:
+                block.append((r["k"], part))
+                n += len(part)
+            if n >= most:
+                yield block
+                block, n = [], 0
     if block:
         yield block
 
@@ -123,31 +129,26 @@ def _scan(docs: DataFrame, key: str, text: str, shared, last: bool) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a = shared.value
-        for b in batches:
-            n, spans, ids = [], [], []
-            for _, _, t in slices(b.column(1)):
-                starts, ends, first, found = a.hits(t)
-                n.append(np.diff(first))
-                edge = np.zeros(len(starts) + 1, np.int64)
-                np.add.at(edge, found[:, 0], 1)
-                np.add.at(edge, found[:, 1], -1)
-                hit = np.cumsum(edge)[:-1] > 0
-                of, doc = owners(first), {}
-                for e, k in found[:, 1:].tolist():
-                    doc.setdefault(int(of[e - 1]), set()).update(a.of[k][1])
-                for i in range(t.n):
-                    if i not in doc:
-                        spans.append([])
-                        ids.append([])
-                        continue
-                    mine = np.concatenate([[False], hit[first[i] : first[i + 1]], [False]])
-                    turn = np.flatnonzero(mine[1:] != mine[:-1]).reshape(-1, 2)
-                    spans.append([{"word": int(x), "end_word": int(y), "byte": int(starts[first[i] + x] - t.offs[i]), "end_byte": int(ends[first[i] + y - 1] - t.offs[i])} for x, y in turn])
-                    ids.append(sorted({a.ids[k] for k in doc[i]}))
+        for b, t in (x for whole in batches for x in pieces(whole, 1)):
+            starts, ends, first, found = a.hits(t)
+            edge = np.zeros(len(starts) + 1, np.int64)
+            np.add.at(edge, found[:, 0], 1)
+            np.add.at(edge, found[:, 1], -1)
+            hit = np.cumsum(edge)[:-1] > 0
+            of, doc = owners(first), {}
+            for e, k in found[:, 1:].tolist():
+                doc.setdefault(int(of[e - 1]), set()).update(a.of[k][1])
+            spans: list[list] = [[] for _ in range(t.n)]
+            ids: list[list] = [[] for _ in range(t.n)]
+            for i, items in doc.items():
+                mine = np.concatenate([[False], hit[first[i] : first[i + 1]], [False]])
+                turn = np.flatnonzero(mine[1:] != mine[:-1]).reshape(-1, 2)
+                spans[i] = [{"word": int(x), "end_word": int(y), "byte": int(starts[first[i] + x] - t.offs[i]), "end_byte": int(ends[first[i] + y - 1] - t.offs[i])} for x, y in turn]
+                ids[i] = sorted({a.ids[k] for k in items})
             if before:
                 spans = [_united(x + y) if x and y else x or y for x, y in zip(b.column("spans").to_pylist(), spans, strict=True)]
                 ids = [sorted({*x, *y}) if x and y else x or y for x, y in zip(b.column("item_ids").to_pylist(), ids, strict=True)]
-            made = [pa.array(np.concatenate(n) if n else [], pa.int64()), pa.array(spans, SPANS), pa.array(ids, pa.list_(pa.string()))]
+            made = [pa.array(np.diff(first), pa.int64()), pa.array(spans, SPANS), pa.array(ids, pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays([b.column(0), *([] if last else [b.column(1)]), *made], names)
 
     names = ["key", *([] if last else ["text"]), "n_words", "spans", "item_ids"]
@@ -160,20 +161,27 @@ def _scan(docs: DataFrame, key: str, text: str, shared, last: bool) -> DataFrame
 SPANS = pa.list_(pa.struct([(x, pa.int64()) for x in ("word", "end_word", "byte", "end_byte")]))
 
 
-def _one_or_all(docs: DataFrame, benchmark: DataFrame, item: str, item_text: str, window: int, most: int) -> list:
-    return [docs.sparkSession.sparkContext.broadcast(Automaton(x, window)) for x in _blocks(benchmark, item, item_text, window, most) or [[]]] or [docs.sparkSession.sparkContext.broadcast(Automaton([], window))]
+def _automata(docs: DataFrame, benchmark: DataFrame, item: str, item_text: str, window: int, most: int) -> Iterator[tuple[object, bool]]:
+    """One broadcast automaton after the other, and whether it is the last."""
+    share = docs.sparkSession.sparkContext.broadcast
+    ahead: list = []
+    for block in _blocks(benchmark, item, item_text, window, most):
+        if ahead:
+            yield share(Automaton(ahead, window)), False
+        ahead = block
+    yield share(Automaton(ahead, window)), True
 
 
 def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
     """Of every row: key, n_words, n_hit, n_items, spans, item_ids, items_sha256,
     contaminated. ``spans`` are the maximal runs of hit words with their byte offsets in
     the original text."""
-    blocks = _one_or_all(docs, benchmark, item, item_text, window, max_windows)
     found = docs.select(key, text)
-    for i, shared in enumerate(blocks):
-        found = _scan(found, key, text, shared, i == len(blocks) - 1)
-        if i < len(blocks) - 1:  # so that a task holds one automaton
+    for shared, last in _automata(docs, benchmark, item, item_text, window, max_windows):
+        found = _scan(found, key, text, shared, last)
+        if not last:  # so that a task holds one automaton
             found = stage(found, "scanned")
+            shared.destroy()
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end_word"] - s["word"])
     return found.select(key, "n_words", hit.alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"), "spans", "item_ids", F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
@@ -181,16 +189,19 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
 def remove(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
     """The rows of ``docs``, unchanged, whose text holds no window of the benchmark."""
     at = docs.columns.index(text)
-    for shared in _one_or_all(docs, benchmark, item, item_text, window, max_windows):
+    for shared, last in _automata(docs, benchmark, item, item_text, window, max_windows):
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             a = shared.value
             for b in batches:
-                clean = np.ones(b.num_rows, bool)
-                for i, _, t in slices(b.column(at)):
+                for rows, t in pieces(b, at):
+                    clean = np.ones(t.n, bool)
                     _, _, first, found = a.hits(t)
-                    clean[i + owners(first)[found[:, 1] - 1]] = False
-                yield b.filter(pa.array(clean))
+                    clean[owners(first)[found[:, 1] - 1]] = False
+                    yield rows.filter(pa.array(clean))
 
         docs = docs.mapInArrow(run, docs.schema)
+        if not last:  # so that a task holds one automaton
+            docs = stage(docs, "scanned")
+            shared.destroy()
     return docs

@@ -49,14 +49,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from . import bloom
 from .components import components
-from .scan import Text, mix, slices, windows
+from .scan import Text, mix, pieces, slices, windows
 from .staging import free_name, stage, temporary
 
 RATIO = 1.5  # of a band's ends
@@ -542,17 +541,20 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int
     hashes = marked.select(F.xxhash64("marked_key").alias("h"))
     have = spark.sparkContext.broadcast(bloom.build(hashes, "h", bloom.size_for(marked.count(), MAX_BITS)))
 
-    def hits(b: pa.RecordBatch) -> pa.Array:
-        return pa.array(bloom.contains(have.value, b.column(len(names)).to_numpy().view(_U)))
+    at = names.index(text)
 
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def split(batches: Iterator[pa.RecordBatch], suspected: bool) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.select(range(len(names))).filter(pc.invert(hits(b)))
+            for rows, _ in pieces(b, at):
+                hit = bloom.contains(have.value, rows.column(len(names)).to_numpy().view(_U))
+                yield rows.select(range(len(names))).filter(pa.array(hit == suspected))
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return split(batches, False)
 
     def suspect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            b = b.filter(hits(b)).select(range(len(names)))
-            ids = [fingerprint(s) for _, _, t in slices(b.column(names.index(text))) for s in sets(t, k)]
+        for b in split(batches, True):
+            ids = [fingerprint(s) for _, _, t in slices(b.column(at)) for s in sets(t, k)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.int64())], [*names, of])
 
     with_hash = docs.withColumn(h, F.xxhash64(key))

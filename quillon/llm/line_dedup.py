@@ -13,9 +13,11 @@ exactly. The filters' size follows the number of lines up to ``max_bits``; beyon
 keys are suspected, and the result stays the same. Texts are scanned, never shuffled,
 unless the confirmed keys outgrow ``max_keys``, when the lines to drop are joined back.
 
-Defined results: a null or empty text is one empty line (and stays as it is); rows with equal document id
-count as one document; a null document id is no document (its lines are neither counted
-nor dropped); extra columns pass through ``dedup``.
+Defined results: a null or empty text is one empty line (and stays as it is); rows with equal
+document id count as one document, also if the rows are equal; ids may be of any type that
+has an order; a null document id is no document (its lines are neither counted nor dropped);
+very long texts and lines are taken whole; an empty table stays empty; extra columns pass
+through ``dedup``, whatever their names, but for line_count and line_drops, which are new.
 """
 
 from __future__ import annotations
@@ -30,8 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from .scan import Text, mix, owners, slices
-from .staging import stage
+from .scan import Text, mix, owners, pieces, slices
+from .staging import free_name, stage
 
 MIN_CHARS, MIN_DOCS = 20, 3
 _SEGMENT = 1 << 16  # bits
@@ -73,22 +75,25 @@ def twice_filter(docs: DataFrame, key: str, text: str, min_chars: int, bits: int
         held = 0
         for b in batches:
             b = b.filter(b.column(0).is_valid())
-            doc = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            doc = b.column(2).to_numpy(zero_copy_only=False)
             for i, _, t in slices(b.column(1)):
                 line, _, _, h = _keys(t, min_chars)
                 keys.append(h)
                 ids.append(doc[i:][owners(t.lines[2])[line]])
                 held += len(h)
-                if held > 1 << 20:  # a key on both sides of this cut is reported twice, as from two tasks
+                if held > 1 << 18:  # a key on both sides of this cut is reported twice, as from two tasks
                     yield from report(keys, ids)
                     keys, ids, held = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
         yield from report(keys, ids)
 
     def report(keys: list, ids: list) -> Iterator[pa.RecordBatch]:
-        pairs = np.unique(np.rec.fromarrays([np.concatenate(keys), np.concatenate(ids)], names="k,d"))
-        k, n = np.unique(pairs.k, return_counts=True)
+        k, d = np.concatenate(keys), np.concatenate(ids)
+        order = np.lexsort((d, k))
+        k, d = k[order], d[order]
+        new = np.append(True, k[1:] != k[:-1])[: len(k)]
+        several = k[1:][~new[1:] & (d[1:] != d[:-1])]
         if len(k):
-            yield from _segments(np.unique(_positions(k, bits)), np.unique(_positions(k[n > 1], bits)))
+            yield from _segments(np.unique(_positions(k[new], bits)), np.unique(_positions(several, bits)))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, np.ndarray] = {}
@@ -101,7 +106,7 @@ def twice_filter(docs: DataFrame, key: str, text: str, min_chars: int, bits: int
         for s, have in seen.items():
             yield pa.RecordBatch.from_arrays([pa.array([s], pa.int64()), pa.array([np.packbits(have == 2, bitorder="little").tobytes()], pa.binary())], ["segment", "bits"])
 
-    parts = docs.select(key, text).mapInArrow(scan, "segment long, once binary, twice binary")
+    parts = docs.select(key, text, F.xxhash64(key)).mapInArrow(scan, "segment long, once binary, twice binary")
     # a segment has a task's positions at most once: no segment is larger than the others
     merged = parts.repartition(F.col("segment")).mapInArrow(merge, "segment long, bits binary").collect()  # `bits` bits in all
     out = np.zeros(bits // 8, np.uint8)
@@ -127,16 +132,15 @@ def repeated_keys(docs: DataFrame, key: str, text: str, min_chars: int, min_docs
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             b = b.filter(b.column(0).is_valid())
-            doc = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             for i, _, t in slices(b.column(1)):
                 line, lo, hi, h = _keys(t, min_chars)
                 of = owners(t.lines[2])[line]
                 # once for each document
                 _, first = np.unique(mix(h + of.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_index=True)
                 first = first[_suspect(shared.value, h[first])]
-                yield pa.RecordBatch.from_arrays([pa.array(_digests(t, lo[first], hi[first]), pa.binary()), pa.array(doc[i:][of[first]], pa.int64())], ["digest", "doc"])
+                yield pa.RecordBatch.from_arrays([pa.array(_digests(t, lo[first], hi[first]), pa.binary()), b.column(0).take(pa.array(i + of[first]))], ["digest", "doc"])
 
-    pairs = docs.select(key, text).mapInArrow(scan, "digest binary, doc long").groupBy("digest", "doc").agg(F.lit(1).alias("one"))
+    pairs = docs.select(key, text).mapInArrow(scan, f"digest binary, doc {docs.schema[key].dataType.simpleString()}").groupBy("digest", "doc").agg(F.lit(1).alias("one"))
     return pairs.groupBy("digest").agg(F.count("*").alias("n"), F.max("doc").alias("keeper")).where(F.col("n") >= min_docs).select("digest", "keeper")
 
 
@@ -171,66 +175,53 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_chars: i
                 out.append(b"\n".join(t.data[starts[j] : ends[j]].tobytes() for j in range(first[i], first[i + 1]) if not dropped[j]))
         return out, np.diff(first), gone
 
-    def emit(b: pa.RecordBatch, texts: list, n: list, gone: list) -> pa.RecordBatch:
+    def emit(b: pa.RecordBatch, texts: list, n: np.ndarray, gone: np.ndarray) -> pa.RecordBatch:
         kept = pc.if_else(b.column(at_text).is_valid(), pa.array(texts, pa.binary()).cast(pa.string()), pa.scalar(None, pa.string()))
         columns = [kept if i == at_text else c for i, c in enumerate(b.columns[: len(names)])]
-        columns += [pa.array(np.concatenate(x) if x else [], pa.int64()) for x in (n, gone)]
+        columns += [pa.array(x, pa.int64()) for x in (n, gone)]
         return pa.RecordBatch.from_arrays(columns, [*names, "line_count", "line_drops"])
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keeper = held.value
-        for b in batches:
-            doc, texts, n, gone = b.column(at_key).to_pylist(), [], [], []
-            for i, _, t in slices(b.column(at_text)):
-                line, digests = suspects(t)
-                of = owners(t.lines[2])
-                dropped = np.zeros(len(of), bool)
-                for j, d in zip(line.tolist(), digests, strict=True):
-                    keep, here = keeper.get(d), doc[i + of[j]]
-                    dropped[j] = keep is not None and here is not None and keep != here
-                x = finish(t, dropped)
-                texts += x[0]
-                n.append(x[1])
-                gone.append(x[2])
-            yield emit(b, texts, n, gone)
+        for b, t in (x for whole in batches for x in pieces(whole, at_text)):
+            doc = b.column(at_key).to_pylist()
+            line, digests = suspects(t)
+            of = owners(t.lines[2])
+            dropped = np.zeros(len(of), bool)
+            for j, d in zip(line.tolist(), digests, strict=True):
+                keep, here = keeper.get(d), doc[of[j]]
+                dropped[j] = keep is not None and here is not None and keep != here
+            yield emit(b, *finish(t, dropped))
 
     schema = StructType([*docs.schema.fields, StructField("line_count", LongType()), StructField("line_drops", LongType())])
     if small:
         return docs.mapInArrow(apply, schema)
 
-    # More keys than a task may hold: the suspects look theirs up in a join, on a salted
-    # row number, and the lines to drop come back to the rows in a second join.
+    # More keys than a task may hold: the suspects look theirs up in a join, and the lines to
+    # drop come back to the rows, by key and digest of the text, in a second join.
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            doc = b.column(0).to_pylist()
-            for i, _, t in slices(b.column(1)):
-                line, digests = suspects(t)
-                of, first = owners(t.lines[2])[line], t.lines[2]
-                yield pa.RecordBatch.from_arrays([pa.array([doc[i + x] for x in of], pa.int64()), pa.array([t_hash(t, x) for x in of], pa.binary()), pa.array(line - first[of], pa.int64()), pa.array(digests, pa.binary())], ["doc", "of", "line", "digest"])
+        for b, t in (x for whole in batches for x in pieces(whole.filter(whole.column(0).is_valid()), 1)):
+            line, digests = suspects(t)
+            of, first = owners(t.lines[2])[line], t.lines[2]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(of)), pa.array([t_hash(t, x) for x in of], pa.binary()), pa.array(line - first[of], pa.int64()), pa.array(digests, pa.binary())], ["doc", "of", "line", "digest"])
 
     def t_hash(t: Text, i: int) -> bytes:
         return hashlib.blake2b(t.bytes(i), digest_size=16).digest()
 
     def fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids = [t_hash(t, i) for _, _, t in slices(b.column(at_text)) for i in range(t.n)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.binary())], [*names, "line_of"])
+        for b, t in (x for whole in batches for x in pieces(whole, at_text)):
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([t_hash(t, i) for i in range(t.n)], pa.binary())], [*names, line_of])
 
     def apply_listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            drop, texts, n, gone = b.column(len(names)).to_pylist(), [], [], []
-            for i, j, t in slices(b.column(at_text)):
-                dropped = np.zeros(t.lines[2][-1], bool)
-                for x, lines in enumerate(drop[i:j]):
-                    dropped[t.lines[2][x] + np.array(lines or [], np.int64)] = True
-                y = finish(t, dropped)
-                texts += y[0]
-                n.append(y[1])
-                gone.append(y[2])
-            yield emit(b, texts, n, gone)
-
-    hits = docs.select(F.col(key).cast("long"), text).mapInArrow(listed, "doc long, of binary, line long, digest binary").where("doc IS NOT NULL")
-    drops = hits.join(confirmed, "digest").where("keeper <> doc").groupBy("doc", "of").agg(F.collect_set("line").alias("line_set"))
-    marked = docs.mapInArrow(fingerprint, StructType([*docs.schema.fields, StructField("line_of", BinaryType())]))
-    joined = marked.join(drops, (marked[key].cast("long") == drops["doc"]) & (marked["line_of"] == drops["of"]), "left")
-    return joined.select(*[marked[c] for c in names], "line_set").mapInArrow(apply_listed, schema)
+        for b, t in (x for whole in batches for x in pieces(whole, at_text)):
+            dropped = np.zeros(t.lines[2][-1], bool)
+            for x, lines in enumerate(b.column(len(names)).to_pylist()):
+                dropped[t.lines[2][x] + np.array(lines or [], np.int64)] = True
+            yield emit(b, *finish(t, dropped))
+
+    line_of, line_at, line_set, doc = (free_name(names, x) for x in ("line_of", "line_at", "line_set", "line_doc"))
+    hits = docs.select(key, text).mapInArrow(listed, f"doc {docs.schema[key].dataType.simpleString()}, of binary, line long, digest binary")
+    drops = hits.join(confirmed, "digest").where("keeper <> doc").groupBy(F.col("doc").alias(doc), F.col("of").alias(line_at)).agg(F.collect_set("line").alias(line_set))
+    marked = docs.mapInArrow(fingerprint, StructType([*docs.schema.fields, StructField(line_of, BinaryType())]))
+    joined = marked.join(drops, (F.col(key) == F.col(doc)) & (F.col(line_of) == F.col(line_at)), "left")
+    return joined.select(*names, line_set).mapInArrow(apply_listed, schema)

@@ -28,8 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scan import pieces as slices_of
 from .staging import stage
-from .tokens import encoded
+from .tokens import TEXT_LIMIT, encoded
 
 CAPACITY, END = 4096, 1
 GROUP = 1 << 16
@@ -39,7 +40,7 @@ def pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
     """Of each piece: key, piece, start, length, ids_crc32, and ids if they are asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (rows for whole in batches for rows, _ in slices_of(whole, 1, TEXT_LIMIT)):
             row, piece, start, length, crc, ids = [], [], [], [], [], []
             for i, x in encoded(b.column(1), tokenizer, end):
                 for p, s in enumerate(range(0, len(x), capacity)):

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scan import ALNUM, LEAD, Text, mix, owners, slices, totals, windows
+from .scan import ALNUM, LEAD, Text, mix, owners, pieces, slices, totals, windows
 
 SYMBOL = np.zeros(256, bool)
 SYMBOL[list(b"#*$%&|<>")] = True
@@ -201,6 +201,8 @@ def keep_good(docs: DataFrame, text: str = "text", least: float = 0.5) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.filter(pa.array(_verdict(_measured(b.column(at)), model, least)[2]))
+            for rows, t in pieces(b, at):
+                counts, votes = measure(t)
+                yield rows.filter(pa.array(_verdict(counts | {"votes": votes}, model, least)[2]))
 
     return docs.mapInArrow(run, docs.schema)

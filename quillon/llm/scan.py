@@ -8,6 +8,7 @@ one document, if that is longer) and not by the batch or partition.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import cached_property
 
@@ -154,3 +155,25 @@ def slices(column: pa.Array, limit: int = LIMIT) -> Iterator[tuple[int, int, Tex
         j = max(i + 1, int(np.searchsorted(offs, offs[i] + limit, "right")) - 1)
         yield i, j, Text(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
         i = j
+    give_back()
+
+
+def pieces(batch: pa.RecordBatch, column: int, limit: int = LIMIT) -> Iterator[tuple[pa.RecordBatch, Text]]:
+    """Consecutive rows of the batch with their texts: what is made of them and sent on is
+    bounded by ``limit`` too."""
+    for i, j, t in slices(batch.column(column), limit):
+        yield batch.slice(i, j - i), t
+
+
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # another C library
+    _trim = None
+
+
+def give_back() -> None:
+    """Freed memory goes back to the system. A worker lives on after its task, and what it
+    keeps is lost to all others on the machine."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)

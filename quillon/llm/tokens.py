@@ -22,7 +22,8 @@ from tokenizers import Tokenizer
 from .scan import Text, slices
 
 TEXT_LIMIT = 1 << 22
-CACHE = 500_000  # pieces in each of two generations
+CACHE = 1 << 24  # bytes of pieces, as Python objects, in each of two generations
+_OBJECTS = 200  # bytes of a cached piece besides its own and its ids
 _CUT = np.zeros(256, bool)
 _CUT[[0x20, 0x0A]] = True
 _VISIBLE = np.zeros(256, bool)
@@ -67,6 +68,7 @@ class Encoder:
         self.model, self.letters = self.tokenizer.model, str.maketrans(byte_letters())
         self.new: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.held = 0
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -85,8 +87,9 @@ class Encoder:
                 got = b"".join([self._word(w) for w in _SINGLE.findall(s.lower())])
             else:
                 got = b"".join([self._word(w) for w in _SPACED.findall(s)])
-        if len(self.new) >= CACHE:
-            self.old, self.new = self.new, {}
+        self.held += len(piece) + len(got) + _OBJECTS
+        if self.held > CACHE:
+            self.old, self.new, self.held = self.new, {}, 0
         self.new[piece] = got
         return got
 

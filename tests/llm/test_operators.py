@@ -66,6 +66,16 @@ def test_line_dedup(spark, odd, how):
     check_dedup(rows, table(spark, rows), **how)
 
 
+@pytest.mark.parametrize("how", [{}, {"max_keys": 0}])
+def test_line_dedup_other_keys_and_names(spark, how):
+    """Keys that are strings, and columns with the names of inner ones."""
+    long = "This Line is long enough to count"
+    rows = [(f"k{i}", f"{long}\nown line of number {i}, long enough") for i in range(4)] + [(None, long), ("k1", long), ("k9", None)]
+    docs = spark.createDataFrame([(*r, 1, "a", "b", "c", "d", "e") for r in rows], "doc_id string, text string, line_set int, line_of string, line_at string, doc string, keeper string, digest string")
+    check_dedup(rows, docs, **how)
+    assert line_dedup.dedup(docs, **how).columns == [*docs.columns, "line_count", "line_drops"]
+
+
 def test_line_dedup_empty(spark, odd):
     assert line_dedup.dedup(odd[1].where("false")).count() == 0
 
@@ -82,7 +92,7 @@ def test_decontaminate(spark, odd):
     docs += [(50 + i, t) for i, (_, t) in enumerate(odd[0])]
     bench = spark.createDataFrame(items, "item_id int, text string")
     df = table(spark, docs)
-    for most in (1 << 20, 20):
+    for most in (1 << 20, 20, 3):
         got = {x.doc_id: x for x in decontaminate.find(df, bench, max_windows=most).collect()}
         for i, t in docs:
             n, found, ids = brute.hits(t, items)
