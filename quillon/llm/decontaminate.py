@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scan import ALNUM, Text, owners, pieces
+from .scan import ALNUM, Text, in_batches, owners, pieces
 from .staging import stage
 
 WINDOW = 10
@@ -176,7 +176,7 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
     """Of every row: key, n_words, n_hit, n_items, spans, item_ids, items_sha256,
     contaminated. ``spans`` are the maximal runs of hit words with their byte offsets in
     the original text."""
-    found = docs.select(key, text)
+    found = in_batches(docs.select(key, text))
     for shared, last in _automata(docs, benchmark, item, item_text, window, max_windows):
         found = _scan(found, key, text, shared, last)
         if not last:  # so that a task holds one automaton
@@ -200,7 +200,7 @@ def remove(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str
                     clean[owners(first)[found[:, 1] - 1]] = False
                     yield rows.filter(pa.array(clean))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = in_batches(docs).mapInArrow(run, docs.schema)
         if not last:  # so that a task holds one automaton
             docs = stage(docs, "scanned")
             shared.destroy()

@@ -13,13 +13,16 @@ Where the first pass decides no block as text (another language, or short blocks
 open blocks of few links are text: the long ones, or all if none is long.
 
 Defined results: null and empty pages, and pages without text, give the empty string; rows
-are handled each by itself; nothing is cut at any length, and the scan is linear.
+are handled each by itself, also if they are equal; nothing is cut at any length, and the
+time is in proportion to the page's length, however bad its markup; an empty table stays
+empty; other columns are kept, whatever their names.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .scan import in_batches, pieces
+
 SHORT = 70  # characters
 MUCH_LINK, SOME_LINK = 0.5, 0.2
 STOPS_TEXT = 0.15
@@ -53,13 +58,16 @@ _WORDS_OUT = {
 }
 _ROLES_OUT = {"alert", "alertdialog", "banner", "complementary", "contentinfo", "dialog", "form", "menu", "menubar", "navigation", "search", "toolbar"}
 _MAIN = {"article", "main"}
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""", re.S)
-_ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+_TAG = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile(r"""=\s*+["']|>""")  # the begin of a quoted value, or the end of a tag
+_ATTRIBUTE = re.compile(r"""(?<![a-zA-Z-])([a-zA-Z-]++)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))""")
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|$|=)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _NAME = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 _LETTERS = re.compile(r"[\W\d_]+")
 _LATIN = re.compile("[A-Za-z\u00aa\u00ba\u00c0-\u024f\u1e00-\u1eff]+")
-_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in _RAW}
+_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in _RAW}
+_OF_TEXT = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "header", "blockquote", "pre", "figure", "figcaption", "li", "dt", "dd", "td", "th", "caption"}
+_SHUT = {"form", "dialog", "aside"}  # no article begins within
 
 
 @dataclass
@@ -70,7 +78,9 @@ class Block:
     good: bool | None = None
 
 
-def _left_out(tag: str, attributes: str) -> bool:
+def _left_out(tag: str, attributes: str, main: bool) -> bool:
+    """Within the main part, what holds text by its tag goes only if a whole name of its
+    class says so (``advert``), not a part of one (``share-price``)."""
     if tag in _LEFT_OUT:
         return True
     if not attributes.strip() or tag in ("html", "body"):
@@ -81,17 +91,54 @@ def _left_out(tag: str, attributes: str) -> bool:
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "role" and value.strip().lower() in _ROLES_OUT:
             return True
-        if name in ("class", "id") and (tag not in _MAIN or "comment" in value.lower()) and any(w.lower() in _WORDS_OUT for w in _NAME.findall(value)):
-            return True
+        words = value.split() if main and tag in _OF_TEXT else _NAME.findall(value)
+        if name in ("class", "id") and (tag not in _MAIN or "comment" in value.lower()) and any(w.lower() in _WORDS_OUT for w in words):
+            return not (tag == "header" and main)
     return False
 
 
+def tags(page: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """Start, end, slash, name and attributes of each tag; comments and declarations have no
+    name. A consumer may send a place to go on at. A quoted value may hold >; once a quote
+    or a tag is not closed, tags end at their first >. So the whole page is read once."""
+    at, whole = 0, True
+    while (start := page.find("<", at)) >= 0:
+        slash = name = attributes = ""
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            end = end + 3 if end >= 0 else len(page)
+        elif m := _TAG.match(page, start + 1):
+            end = -1
+            place = m.end()
+            while whole:
+                stop = _STOP.search(page, place)
+                if stop and stop[0] == ">":
+                    end = stop.end()
+                    break
+                close = page.find(stop[0][-1], stop.end()) if stop else -1
+                whole = close >= 0
+                place = close + 1
+            if end < 0:
+                end = page.find(">", m.end()) + 1
+            if not end:  # no tag from here on
+                return
+            slash, name, attributes = m[1], m[2].lower(), page[m.end() : end - 1]
+        elif page[start + 1 : start + 2] in ("!", "?", "/"):
+            end = page.find(">", start) + 1
+            if not end:
+                return
+        else:
+            at = start + 1
+            continue
+        at = (yield start, end, slash, name, attributes) or end
+
+
 def blocks(page: str) -> list[Block]:
     """The blocks with text outside of what is left out."""
     found: list[Block] = []
     texts: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, left out, in the main part
+    stack: list[tuple[str, bool, bool, bool]] = []  # tag, left out, in the main part, no article within
     out = main = False
     links = breaks = 0
 
@@ -105,23 +152,26 @@ def blocks(page: str) -> list[Block]:
                 found.append(Block(text, min(1.0, in_links / len(text)), main))
             texts, linked = [], []
 
-    at = 0
-    while True:
-        m = _TAG.search(page, at)
-        run = page[at : m.start() if m else len(page)]
+    def said(run: str) -> None:
+        nonlocal breaks
         if run and not out:
             if run.strip():
                 breaks = 0
             texts.append(run)
             if links:
                 linked.append(run)
-        if not m:
+
+    at, skip, opened, shut = 0, None, Counter(), 0
+    scan = tags(page)
+    while True:
+        try:
+            start, end, close, tag, attributes = scan.send(skip)
+        except StopIteration:
             break
-        at = m.end()
-        close, tag, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
+        said(page[at:start])
+        at, skip = end, None
         if not tag:
             continue
-        tag = tag.lower()
         if tag == "br":
             texts.append(" ")
             breaks += 1
@@ -134,24 +184,31 @@ def blocks(page: str) -> list[Block]:
             flush()
             links = 0 if tag != "a" else links
         if close:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
+            while opened[tag]:  # all that was opened within
+                gone = stack.pop()
+                opened[gone[0]] -= 1
+                shut -= gone[3]
+                if gone[0] == tag:
                     break
             out, main = (stack[-1][1], stack[-1][2]) if stack else (False, False)
         elif tag in _RAW:
             if not attributes.rstrip().endswith("/"):
-                end = _END[tag].search(page, at)
-                at = end.end() if end else (at if tag in ("title", "noscript", "object") else len(page))
+                ends = _END[tag].search(page, at)
+                stop = page.find(">", ends.end()) + 1 if ends else 0
+                at = skip = stop or (at if tag in ("title", "noscript", "object") else len(page))
         elif tag not in _VOID and not attributes.rstrip().endswith("/"):
-            if tag in _MAIN and out and not any(x[0] in ("form", "dialog", "aside") or x[0] not in _LEFT_OUT | {"header"} and x[1] for x in stack):
+            if tag in _MAIN and out and not shut:
                 out = False  # an article ends a header or menu that was never closed
             header = tag == "header" and not main
-            leaves = out or header or _left_out(tag, attributes)
+            leaves = out or header or _left_out(tag, attributes, main)
             if leaves and not out:
                 flush()
-            stack.append((tag, leaves, main or (tag in _MAIN and not leaves)))
+            closed = tag in _SHUT or tag not in _LEFT_OUT and tag != "header" and leaves
+            stack.append((tag, leaves, main or (tag in _MAIN and not leaves), closed))
+            opened[tag] += 1
+            shut += closed
             out, main = stack[-1][1], stack[-1][2]
+    said(page[at:])
     flush()
     return found
 
@@ -219,7 +276,8 @@ def main_text(pages: DataFrame, html: str = "html", name: str = "text") -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array([extract(x) for x in b.column(len(kept)).to_pylist()], pa.string())], [*kept, name])
+            for rows, _ in pieces(b, len(kept)):
+                yield pa.RecordBatch.from_arrays([*rows.columns[:-1], pa.array([extract(x) for x in rows.column(len(kept)).to_pylist()], pa.string())], [*kept, name])
 
     schema = pages.select(*kept, F.lit("").alias(name)).schema
-    return pages.select(*kept, html).mapInArrow(run, schema)
+    return in_batches(pages.select(*kept, html)).mapInArrow(run, schema)

@@ -55,7 +55,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from . import bloom
 from .components import components
-from .scan import Text, mix, pieces, slices, windows
+from .scan import Text, in_batches, mix, pieces, slices, windows
 from .staging import free_name, stage, temporary
 
 RATIO = 1.5  # of a band's ends
@@ -168,7 +168,7 @@ def _scan(docs: DataFrame, key: str | None, text: str, k: int, rows, schema: str
         for b in batches:
             yield from rows(b.column(0), (s for _, _, t in slices(b.column(b.num_columns - 1)) for s in sets(t, k)))
 
-    return docs.select(*([key] if key else []), text).mapInArrow(run, schema)
+    return in_batches(docs.select(*([key] if key else []), text)).mapInArrow(run, schema)
 
 
 def classes(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
@@ -261,7 +261,7 @@ def stars(docs: DataFrame, text: str, k: int, all_bands: list[Band], keys: int)
     def rows(*columns: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], ["bucket", "a", "b"])
 
-    return docs.select(text).mapInArrow(combined, _PACKED).repartition(tasks, "part").mapInArrow(met, _STARS)
+    return in_batches(docs.select(text)).mapInArrow(combined, _PACKED).repartition(tasks, "part").mapInArrow(met, _STARS)
 
 
 def _several(members: DataFrame) -> DataFrame:
@@ -557,7 +557,7 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int
             ids = [fingerprint(s) for _, _, t in slices(b.column(at)) for s in sets(t, k)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.int64())], [*names, of])
 
-    with_hash = docs.withColumn(h, F.xxhash64(key))
+    with_hash = in_batches(docs.withColumn(h, F.xxhash64(key)))
     suspects = with_hash.mapInArrow(suspect, StructType([*docs.schema.fields, StructField(of, LongType())]))
     judged = suspects.join(marked, F.col(key).eqNullSafe(F.col("marked_key")) & (F.col(of) == F.col("marked_class")), "left")
     stay = judged.where(F.col(again).isNull()).select(names)

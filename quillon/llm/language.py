@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scan import LOWER, WHITE, Text, slices
+from .scan import LOWER, WHITE, Text, in_batches, slices
 
 BUCKETS = 1 << 15
 ROUNDS = 8
@@ -142,7 +142,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(c[at], pa.int64())], ["lang", "gram", "n"])
 
     rows = labelled.select(lang, text).where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
+    counts = in_batches(rows).mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     names = sorted(set(counts.column("lang").to_pylist()))
     table = np.full((BUCKETS, len(names)), 0.5)
     at = {x: i for i, x in enumerate(names)}
@@ -164,4 +164,4 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
                 size.append(x[2])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(names, pa.string()), *(pa.array(np.concatenate(x) if x else [], k) for x, k in ((score, pa.float64()), (size, pa.int64())))], ["key", "lang_pred", "score", "n_langs"])
 
-    return docs.select(key, text).mapInArrow(run, f"key {docs.schema[key].dataType.simpleString()}, lang_pred string, score double, n_langs long").withColumnRenamed("key", key)
+    return in_batches(docs.select(key, text)).mapInArrow(run, f"key {docs.schema[key].dataType.simpleString()}, lang_pred string, score double, n_langs long").withColumnRenamed("key", key)

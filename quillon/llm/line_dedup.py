@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from .scan import Text, mix, owners, pieces, slices
+from .scan import Text, in_batches, mix, owners, pieces, slices
 from .staging import free_name, stage
 
 MIN_CHARS, MIN_DOCS = 20, 3
@@ -148,7 +148,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_chars: i
     """``docs`` with the text that is left, and two more columns, line_count (before) and
     line_drops. (Input columns of these names are replaced.)"""
     spark = docs.sparkSession
-    docs = docs.drop("line_count", "line_drops")
+    docs = in_batches(docs.drop("line_count", "line_drops"))
     names, at_key, at_text = docs.columns, docs.columns.index(key), docs.columns.index(text)
     size = docs.select(F.sum(F.length(text)).alias("n")).first()["n"] or 0
     bits = _SEGMENT

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scan import in_batches
 from .scan import pieces as slices_of
 from .staging import stage
 from .tokens import TEXT_LIMIT, encoded
@@ -56,7 +57,7 @@ def pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
             yield pa.RecordBatch.from_arrays([*columns, *([pa.array(ids, pa.list_(pa.int32()))] if with_ids else [])], ["key", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(run, f"key {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids).withColumnRenamed("key", key)
+    return in_batches(docs.select(key, text)).mapInArrow(run, f"key {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids).withColumnRenamed("key", key)
 
 
 @dataclass(frozen=True)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scan import ALNUM, LEAD, Text, mix, owners, pieces, slices, totals, windows
+from .scan import ALNUM, LEAD, Text, in_batches, mix, owners, pieces, slices, totals, windows
 
 SYMBOL = np.zeros(256, bool)
 SYMBOL[list(b"#*$%&|<>")] = True
@@ -130,7 +130,7 @@ def profile(docs: DataFrame, key: str | None = "doc_id", text: str = "text") ->
             yield pa.RecordBatch.from_pydict(({"key": b.column(0)} if key else {}) | m)
 
     kind = f"key {docs.schema[key].dataType.simpleString()}, " if key else ""
-    out = docs.select(*([F.col(key)] if key else []), F.col(text)).mapInArrow(run, kind + ", ".join(f"{c} long" for c in (*COUNTS, "votes")))
+    out = in_batches(docs.select(*([F.col(key)] if key else []), F.col(text))).mapInArrow(run, kind + ", ".join(f"{c} long" for c in (*COUNTS, "votes")))
     return out.withColumnRenamed("key", key) if key else out
 
 
@@ -205,4 +205,4 @@ def keep_good(docs: DataFrame, text: str = "text", least: float = 0.5) -> DataFr
                 counts, votes = measure(t)
                 yield rows.filter(pa.array(_verdict(counts | {"votes": votes}, model, least)[2]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_batches(docs).mapInArrow(run, docs.schema)

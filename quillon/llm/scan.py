@@ -9,14 +9,17 @@ one document, if that is longer) and not by the batch or partition.
 from __future__ import annotations
 
 import ctypes
+import re
 from collections.abc import Iterator
 from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
-LIMIT = 1 << 20
+LIMIT = 1 << 19
+BATCH = 1 << 22  # bytes of rows that go to a Python worker at a time
 
 _U = np.uint64
 WHITE = np.zeros(256, bool)
@@ -165,6 +168,16 @@ def pieces(batch: pa.RecordBatch, column: int, limit: int = LIMIT) -> Iterator[t
         yield batch.slice(i, j - i), t
 
 
+def in_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session now hands rows to Python in batches of at most ``BATCH`` bytes
+    (one row, if that is longer). By default ten thousand rows go at a time, or 64 MB."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    n, unit = re.match(r"(\d+)\s*([kmgtp]?)", conf.get(name).lower()).groups()
+    if int(n) << 10 * ("kmgtp".index(unit) + 1 if unit else 0) > BATCH:
+        conf.set(name, str(BATCH))
+    return df
+
+
 try:
     _trim = ctypes.CDLL(None).malloc_trim
 except (AttributeError, OSError):  # another C library

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .scan import in_batches
 from .staging import stage
 from .tokens import encoded
 
@@ -74,7 +75,7 @@ def _tokenised(docs: DataFrame, tokenizer: str, key: str, text: str, end: int) -
             yield pa.RecordBatch.from_arrays([pa.array([part] * b.num_rows, pa.int64()), pa.array(starts, pa.int64()), b.column(0), pa.array(ns, pa.int64()), pa.array(ids, pa.binary())], ["part", "start", "key", "n", "ids"])
 
     kind = docs.schema[key].dataType.simpleString()
-    ordered = docs.select(key, text).repartitionByRange(F.col(key).asc_nulls_first()).sortWithinPartitions(F.col(key).asc_nulls_first(), F.col(text).asc_nulls_first())
+    ordered = in_batches(docs.select(key, text)).repartitionByRange(F.col(key).asc_nulls_first()).sortWithinPartitions(F.col(key).asc_nulls_first(), F.col(text).asc_nulls_first())
     return ordered.mapInArrow(run, f"part long, start long, key {kind}, n long, ids binary")
 
 

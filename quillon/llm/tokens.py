@@ -18,10 +18,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
+from tokenizers.models import BPE
 
 from .scan import Text, slices
 
-TEXT_LIMIT = 1 << 22
+TEXT_LIMIT = 1 << 21
 CACHE = 1 << 24  # bytes of pieces, as Python objects, in each of two generations
 _OBJECTS = 200  # bytes of a cached piece besides its own and its ids
 _CUT = np.zeros(256, bool)
@@ -57,14 +58,12 @@ class Encoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are text
-        with open(path, encoding="utf-8") as f:
-            made = json.load(f)
-        pre, norm = made["pre_tokenizer"] or {}, made["normalizer"] or {}
+        pre, norm = (json.loads(x.__getstate__()) if x else {} for x in (self.tokenizer.pre_tokenizer, self.tokenizer.normalizer))
         kinds = [x["type"] for x in norm.get("normalizers", [])]
         steps = pre.get("pretokenizers", [])
         self.lower = kinds == ["NFC", "Replace", "Lowercase"] and len(steps) == 2 and steps[0].get("pattern") == {"Regex": WORD_PATTERN} and steps[1]["type"] == "ByteLevel"
         self.spaced = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not norm
-        self.fast = bool(self.lower or self.spaced) and made["model"]["type"] == "BPE"
+        self.fast = bool(self.lower or self.spaced) and isinstance(self.tokenizer.model, BPE)
         self.model, self.letters = self.tokenizer.model, str.maketrans(byte_letters())
         self.new: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}

@@ -428,6 +428,26 @@ def test_html_of_any_language():
     assert html_extract.extract(f"<article>{figure}</article>") == html_extract.extract(figure) == f"{english}\nA cat.\n{english}"
 
 
+def test_html_of_article_parts():
+    """Titles, captions and text whose class only begins like a menu's stay."""
+    text = "The cat and the dog of the house are in the garden with a friend, and it is a nice day for them."
+    page = f"""<article><header class="entry-header"><h1>The title</h1></header><p class="related-work">{text}</p><p class="share-price">{text}</p>
+    <figure><figcaption class="legal-history">A cat</figcaption></figure><p class="advert">{text}</p><div class="related-posts">{text}</div><p title="a > b">{text}</p></article>"""
+    assert html_extract.extract(page).split("\n") == ["The title", text, text, "A cat", text]
+    assert html_extract.extract(f"<p class=\"x>{text}</p><p>{text}</p>") == f"{text}\n{text}"
+    assert html_extract.extract(f"<p>1 < 2 and {text}<b") == f"1 < 2 and {text}<b"
+
+
+@pytest.mark.parametrize("bad", ["<a", "<a x ", "<A", "<", "<a \"\" ", "<a x=\">\" ", "<div>", "</b>", "<div></b>", "<!--", "<p x=' ", "<p " + "A" * 400, "<script></script ", "<nav><article>", "&", "<p>a"])
+def test_html_time_is_linear(bad):
+    import time
+
+    for end in ("", ">"):
+        begin = time.process_time()
+        html_extract.extract(bad * (500_000 // len(bad)) + end)
+        assert time.process_time() - begin < 5
+
+
 def test_html_query(spark, sf_dir):
     import html
 
