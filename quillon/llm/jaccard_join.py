@@ -388,7 +388,7 @@ def candidates(of: np.ndarray, root: np.ndarray, size: np.ndarray, sketches: lis
     out. Members of side 1 meet those of side 0 only; side 2 meets all."""
     root = np.unique(root, return_inverse=True)[1]
     shortest = min(map(len, sketches))
-    bits = np.array([_folded(np.frombuffer(p, np.uint8), shortest) for p in sketches])
+    bits = np.array([_folded(np.frombuffer(p, np.uint8), shortest) for p in sketches]).view(_U)  # eight bytes at least
     passed = [np.zeros((3, 0), np.int64)]
     for i in np.flatnonzero(side != 1):
         a, b = np.minimum(size[i], size), np.maximum(size[i], size)
