@@ -51,7 +51,8 @@ def vector_histogram(steps: DataFrame, columns: list[str], bins: int = BINS) ->
     ends = values.groupBy("kind", "dim").agg(F.min("value").alias("low"), F.max("value").alias("high"))
     same = F.col("low") == F.col("high")
     ends = ends.select("kind", "dim", F.when(same, F.col("low") - 0.5).otherwise(F.col("low")).alias("low"), F.when(same, F.col("high") + 0.5).otherwise(F.col("high")).alias("high"))
-    binned = values.join(ends, ["kind", "dim"]).withColumn("bin", bin_of(F.col("value"), F.col("low"), F.col("high"), bins))
+    # a row for each dimension of the declared vectors; Spark's estimate would send the values
+    binned = values.join(F.broadcast(ends), ["kind", "dim"]).withColumn("bin", bin_of(F.col("value"), F.col("low"), F.col("high"), bins))
     return binned.groupBy("kind", "dim", "bin").agg(F.count("*").alias("n"))
 
 
@@ -71,6 +72,7 @@ def strided(steps: DataFrame, step: int, index: str = "step_index") -> DataFrame
 def captions(steps: DataFrame, keys: list[str], text: str, step: int = 4, index: str = "step_index") -> DataFrame:
     """Each episode's caption: the text of its last step and a remark on the sampling."""
     last = F.max_by(text, index)
+    # fixed value: the remark
     return steps.groupBy(*keys).agg(F.concat(last, F.lit(f" (temp. downsampled {step}x)")).alias("caption"))
 
 

@@ -146,6 +146,8 @@ def test_full_target(spark):
 def test_histogram_is_numpys(spark, values):
     df = spark.createDataFrame([([v],) for v in values], "v array<double>")
     got = {r.bin: r.n for r in profile.vector_histogram(df, ["v"]).collect()}
+    plan = profile.vector_histogram(df, ["v"])._jdf.queryExecution().toString()
+    assert "BuildRight" in plan and "BuildLeft" not in plan  # the ends go to the values
     low, high = min(values), max(values)
     if low == high:
         low, high = low - 0.5, high + 0.5
