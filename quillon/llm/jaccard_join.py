@@ -21,10 +21,12 @@ In each bucket that is left, all classes are compared to one, by one-bit parity
 first (their Hamming distance bounds the difference too) and then by the whole sets, and
 links form components. Where a bucket still has members of several components, these are
 compared by their parity sketches, in blocks of bounded size: the members outside of the
-largest component with each other and with those in it, never those within it. The
-candidates, nearest first and few for each two components, are verified, and what fails
-brings on the next ones, until components are one or no pair is left. So no link between
-different texts is lost, up to collisions of 64-bit hashes.
+largest component with each other and with those in it, never those within it. Similar
+classes share many buckets: each class names ``OWNERS`` of its largest, and a pair is left to
+the first one that both name (all its buckets have it if there is none). The candidates,
+nearest first and few for each two components, at first as many as make them a tree, are
+verified, and what fails brings on the next ones, until components are one or no pair is
+left. So no link between different texts is lost, up to collisions of 64-bit hashes.
 
 What remains quadratic is the comparison of sketches in a bucket in which many documents
 agree in t words and more and yet are not linked; its rows are those outside of the largest
@@ -60,6 +62,7 @@ from .staging import free_name, stage, temporary
 
 RATIO = 1.5  # of a band's ends
 BLOCK = 1024  # members of a bucket that are compared to as many: a few MB of parity sketches
+OWNERS = 16  # buckets that a class names
 COMBINED = 1 << 19  # bucket keys that a task combines at a time
 PART = 1 << 20  # bucket keys that meet in a task
 MAX_BITS = 1 << 27
@@ -382,10 +385,19 @@ def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
     return rooted.join(about.select("bucket", "n", F.col("top.root").alias("main"), F.col("top.n").alias("most")), "bucket")
 
 
-def candidates(of: np.ndarray, root: np.ndarray, size: np.ndarray, sketches: list[bytes], side: np.ndarray, percent: int, quota: int) -> tuple[list[tuple[int, int]], bool]:
-    """Pairs of classes with different roots that could be linked, nearest first: of two
-    components ``quota`` pairs at most, which then count as one; and whether others were left
-    out. Members of side 1 meet those of side 0 only; side 2 meets all."""
+def _owned(bucket: int, mine: np.ndarray, theirs: np.ndarray) -> np.ndarray:
+    """Whether the pairs of a class that names ``mine`` and others that name ``theirs`` (a row
+    each, in the order of ``mine``; what is not a bucket is equal to none) are the bucket's."""
+    common = (theirs[:, None, :] == mine[None, :, None]).any(2)
+    return ~common.any(1) | (mine[common.argmax(1)] == bucket)
+
+
+def candidates(of: np.ndarray, root: np.ndarray, size: np.ndarray, sketches: list[bytes], side: np.ndarray, percent: int, quota: int, bucket: int = 0, named: list[list[int]] | None = None) -> tuple[list[tuple[int, int]], bool]:
+    """The bucket's own pairs of classes with different roots that could be linked, nearest
+    first: of two components ``quota`` pairs at most, which then count as one; and whether
+    others were left out. Members of side 1 meet those of side 0 only; side 2 meets all."""
+    # no bucket has 62 or 63 in its lowest bits, for there are fewer bands
+    mine, theirs = (np.array([[*x, *[none] * (OWNERS - len(x))] for x in named or [[]] * len(of)], np.int64) for none in (-1, -2))
     root = np.unique(root, return_inverse=True)[1]
     shortest = min(map(len, sketches))
     bits = np.array([_folded(np.frombuffer(p, np.uint8), shortest) for p in sketches]).view(_U)  # eight bytes at least
@@ -398,6 +410,7 @@ def candidates(of: np.ndarray, root: np.ndarray, size: np.ndarray, sketches: lis
         if len(j):
             d = np.bitwise_count(bits[j] ^ bits[i]).sum(1, dtype=np.int64)
             j, d = j[ok := d <= (100 - percent) * (a + b)[j] // (100 + percent)], d[ok]
+            j, d = j[ok := _owned(bucket, mine[i], theirs[j])], d[ok]
             passed.append(np.stack([d, np.full(len(j), i), j]))
     nearest = np.concatenate(passed, axis=1)
     nearest = nearest[1:, np.lexsort((nearest[2], nearest[1], nearest[0]))]
@@ -435,14 +448,14 @@ def _meetings(mixed: DataFrame, sketches: DataFrame, percent: int, quota: int) -
     with_inner = F.transform(F.expr("sequence(0L, inner - 1)"), lambda o: place(2, own("outer"), o, F.lit(0)))
     from_main = F.transform(F.expr("sequence(0L, outer - 1)"), lambda o: place(2, o, own("inner"), F.lit(1)))
     places = F.when(F.col("outer") == 0, F.array(place(0, F.lit(0), F.lit(0), F.lit(2)))).when(F.col("is_main"), from_main).otherwise(F.concat(with_outer, with_inner))
-    dealt = cut.join(sketches, "class").select("bucket", F.explode(places).alias("p"), "class", "root", "size", "parity").select("bucket", "p.*", "class", "root", "size", "parity")
+    dealt = cut.join(sketches, "class").select("bucket", F.explode(places).alias("p"), "class", "root", "size", "parity", "named").select("bucket", "p.*", "class", "root", "size", "parity", "named")
     group = ["bucket", "kind", "i", "j"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         at = None
         for b in batches:
-            lists = [b.column(i).to_pylist() for i in range(9)]
+            lists = [b.column(i).to_pylist() for i in range(10)]
             for row in zip(*lists, strict=True):
                 if row[:4] != at:
                     yield from found(at, held)
@@ -453,12 +466,12 @@ def _meetings(mixed: DataFrame, sketches: DataFrame, percent: int, quota: int) -
     def found(at: tuple, held: list[tuple]) -> Iterator[pa.RecordBatch]:
         if len(held) < 2:
             return
-        side, of, root, size, bits = zip(*held, strict=True)
-        pairs, more = candidates(*(np.array(x, np.int64) for x in (of, root, size)), list(bits), np.array(side), percent, quota)
+        side, of, root, size, bits, named = zip(*held, strict=True)
+        pairs, more = candidates(*(np.array(x, np.int64) for x in (of, root, size)), list(bits), np.array(side), percent, quota, at[0], list(named))
         if pairs:
             yield pa.RecordBatch.from_arrays([pa.array([at[0]] * len(pairs), pa.int64()), *(pa.array([x[k] for x in pairs], pa.int64()) for k in (0, 1)), pa.array([more] * len(pairs))], ["bucket", "a", "b", "more"])
 
-    packed = dealt.select(*group, "side", "class", "root", "size", "parity").repartition(*group).sortWithinPartitions(*group, "class")
+    packed = dealt.select(*group, "side", "class", "root", "size", "parity", "named").repartition(*group).sortWithinPartitions(*group, "class")
     return packed.mapInArrow(run, "bucket long, a long, b long, more boolean")
 
 
@@ -468,9 +481,14 @@ def _resolved(members: DataFrame, roots: DataFrame, sketches: DataFrame, tested:
     # of the buckets with equal members, one
     same = members.groupBy("bucket").agg(F.first("n").alias("n"), F.expr("bit_xor(xxhash64(class))").alias("x"), F.expr("bit_xor(xxhash64(class, 7))").alias("y"))
     members = stage(members.join(same.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket"), "bucket", "left_semi"), "members")
-    quota = 4
+    # of the members that are left, so that a pair's bucket stays the same in all rounds; a
+    # class has as many buckets as its sketches have words at most
+    named = members.groupBy("class").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "bucket"))).alias("all"))
+    named = named.select("class", F.slice("all.bucket", 1, OWNERS).alias("named"))
+    sketches_named = stage(sketches.join(named, "class"), "sketches")
+    quota = 1
     while not members.isEmpty():
-        met = stage(_meetings(members, sketches, percent, quota), "met")
+        met = stage(_meetings(members, sketches_named, percent, quota), "met")
         pairs = stage(met.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
         good = _verified(stage(_near(pairs, sketches, percent), "near"), sets_of, percent)
         roots = _merged(roots, good)

@@ -204,6 +204,12 @@ def test_candidates_of_blocks():
     assert sorted(across[0]) == [(i, j) for i in range(4) for j in range(4, 12)]
     few = jaccard_join.candidates(of, of, size, bits, np.full(12, 2), 90, 1)
     assert len(few[0]) == 11 and few[1]
+    # a pair is the first bucket's that both classes name, and every bucket's if there is none
+    named = [[7 * 64, 5 * 64]] * 4 + [[9 * 64, 5 * 64]] * 4 + [[]] * 4
+    own = {b: set(jaccard_join.candidates(of, of, size, bits, np.full(12, 2), 90, 1 << 30, b * 64, named)[0]) for b in (5, 7, 9, 11)}
+    for i, j in every[0]:
+        at = {7} if j < 4 else {9} if 4 <= i and j < 8 else {5} if j < 8 else {5, 7, 9, 11}
+        assert {b for b in own if (i, j) in own[b]} == at
 
 
 def test_buckets_miss_no_link():
