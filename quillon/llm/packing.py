@@ -8,8 +8,12 @@ least room. All pieces of one length and all sequences with one gap are handled
 so the plan is that of the piece-by-piece algorithm in time that does not depend on their
 number. A piece finds its place by its rank among the pieces of its length.
 
-Ranks are counted in groups of about ``GROUP`` pieces (a hash deals out the pieces of a
-frequent length), so no length or document makes a large task.
+Pieces are numbered where they are made: each carries its part (the task that wrote it) and
+its number among the part's pieces of its length. Its rank is that number and the pieces of
+its length in the parts before, which a table of (length, part) counts tells. That table goes
+to all tasks up to ``SMALL`` rows and is joined by shuffle beyond, with the same result; the
+pieces and their ids are not sorted, so no length or document makes a large task. Which of
+the pieces of one length goes where depends on how the documents lie in files.
 
 Defined results: null and empty texts are one piece with the end id only; rows are packed
 each by itself, also if they are equal; an empty table gives no pieces; other columns of the
@@ -34,30 +38,37 @@ from .staging import stage
 from .tokens import TEXT_LIMIT, encoded
 
 CAPACITY, END = 4096, 1
-GROUP = 1 << 16
+SMALL = 1 << 18  # rows of counts that every task may hold: a few MB
 
 
 def pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end: int = END, with_ids: bool = True) -> DataFrame:
-    """Of each piece: key, piece, start, length, ids_crc32, and ids if they are asked for."""
+    """Of each piece: key, piece, start, length, ids_crc32, its part and number (``nth``) among
+    the part's pieces of its length, and ids if they are asked for. To be stored before use:
+    parts are those of the run that made them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, seen = TaskContext.get().partitionId(), [0] * (capacity + 1)
         for b in (rows for whole in batches for rows, _ in slices_of(whole, 1, TEXT_LIMIT)):
-            row, piece, start, length, crc, ids = [], [], [], [], [], []
+            row, piece, start, length, crc, nth, ids = [], [], [], [], [], [], []
             for i, x in encoded(b.column(1), tokenizer, end):
                 for p, s in enumerate(range(0, len(x), capacity)):
-                    part = x[s : s + capacity]
+                    cut = x[s : s + capacity]
                     row.append(i)
                     piece.append(p)
                     start.append(s)
-                    length.append(len(part))
-                    crc.append(zlib.crc32(part.tobytes()))
+                    length.append(len(cut))
+                    crc.append(zlib.crc32(cut.tobytes()))
+                    nth.append(seen[len(cut)])
+                    seen[len(cut)] += 1
                     if with_ids:
-                        ids.append(part.astype(np.int32))
-            columns = [b.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*columns, *([pa.array(ids, pa.list_(pa.int32()))] if with_ids else [])], ["key", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])])
+                        ids.append(cut.astype(np.int32))
+            columns = [b.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array([part] * len(row), pa.int64()), pa.array(nth, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*columns, *([pa.array(ids, pa.list_(pa.int32()))] if with_ids else [])], ["key", "piece", "start", "length", "ids_crc32", "part", "nth", *(["ids"] if with_ids else [])])
 
     kind = docs.schema[key].dataType.simpleString()
-    return in_batches(docs.select(key, text)).mapInArrow(run, f"key {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids).withColumnRenamed("key", key)
+    return in_batches(docs.select(key, text)).mapInArrow(run, f"key {kind}, piece int, start long, length long, ids_crc32 long, part long, nth long" + ", ids array<int>" * with_ids).withColumnRenamed("key", key)
 
 
 @dataclass(frozen=True)
@@ -140,17 +151,16 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> Plan:
     return Plan(*columns, used)
 
 
-def pack(parts: DataFrame, key: str = "doc_id", capacity: int = CAPACITY) -> DataFrame:
-    """``parts`` (a stored table of pieces) with sequence_id and offset."""
-    spark, names = parts.sparkSession, parts.columns
-    histogram = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.count("*").alias("n")).collect()}  # `capacity` rows at most
-    shared = spark.sparkContext.broadcast(plan(histogram, capacity))
-    groups = spark.createDataFrame([(x, max(1, -(-n // GROUP))) for x, n in sorted(histogram.items())], "length long, groups long")
-    dealt = parts.join(F.broadcast(groups), "length").withColumn("deal", F.expr(f"pmod(xxhash64(`{key}`, piece, ids_crc32), groups)")).drop("groups")
-    ahead = dealt.groupBy("length", "deal").agg(F.count("*").alias("n"))
-    ahead = ahead.select("length", "deal", (F.sum("n").over(Window.partitionBy("length").orderBy("deal")) - F.col("n")).alias("ahead"))
-    ranked = dealt.withColumn("rank", F.row_number().over(Window.partitionBy("length", "deal").orderBy(key, "piece", "ids_crc32")).cast("long") - 1).join(ahead, ["length", "deal"])
-    ranked = ranked.select(*names, (F.col("rank") + F.col("ahead")).alias("rank"))
+def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """``parts`` (a stored table of ``pieces``) with sequence_id and offset for part and nth."""
+    spark, names = parts.sparkSession, [c for c in parts.columns if c not in ("part", "nth")]
+    counts = stage(parts.groupBy("length", "part").agg(F.count("*").alias("n")), "counts")
+    lengths = counts.groupBy("length").agg(F.sum("n").alias("n"), F.count("*").alias("rows")).collect()  # `capacity` rows at most
+    shared = spark.sparkContext.broadcast(plan({r["length"]: r["n"] for r in lengths}, capacity))
+    before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ahead = counts.select("length", "part", (F.sum("n").over(before) - F.col("n")).alias("ahead"))
+    ahead = F.broadcast(ahead) if sum(r["rows"] for r in lengths) <= SMALL else ahead.hint("merge")
+    ranked = parts.join(ahead, ["length", "part"]).select(*names, (F.col("nth") + F.col("ahead")).alias("rank"))
     at = names.index("length")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,9 +168,9 @@ def pack(parts: DataFrame, key: str = "doc_id", capacity: int = CAPACITY) -> Dat
             s, o = shared.value.place(b.column(at).to_numpy(), b.column(len(names)).to_numpy())
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(s, pa.int64()), pa.array(o, pa.int64())], [*names, "sequence_id", "offset"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.select(names).schema)
     return ranked.mapInArrow(run, f"{kinds}, sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end: int = END, with_ids: bool = True) -> DataFrame:
-    return pack(stage(pieces(docs, tokenizer, key, text, capacity, end, with_ids), "pieces"), key, capacity)
+    return pack(stage(pieces(docs, tokenizer, key, text, capacity, end, with_ids), "pieces"), capacity)

@@ -106,6 +106,18 @@ def test_packing_query(spark, sf_dir):
     check_packing(entry.op4_packing(spark, sf_dir).collect(), docs)
 
 
+@pytest.mark.parametrize("small", [0, 1 << 18])
+def test_packing_of_many_parts(spark, monkeypatch, small):
+    """Counts joined by shuffle and known to every task give the same places."""
+    monkeypatch.setattr(packing, "SMALL", small)
+    texts = [None, "", "a b c"] * 40 + [f"word{i % 5} " * (i % 9 * 100) for i in range(90)] + ["long text, " * 9000] * 2
+    docs = spark.createDataFrame([(i if i % 4 else 7, t, 1, 2) for i, t in enumerate(texts)], "doc_id int, text string, part int, nth int").repartition(7, "text")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    got = packing.pack_documents(docs, WORDS, with_ids=False).collect()
+    check_packing(got, rows)
+    assert not {"part", "nth"} & set(got[0].__fields__)
+
+
 def test_packing_odd_rows(spark):
     texts = [*enumerate(ODD), (3, None), (3, None), (None, "a b"), (9, "same text"), (9, "same text"), (50, "word " * 9000)]
     docs = spark.createDataFrame([(i, x, 7, 8) for i, x in texts], "doc_id long, text string, length int, offset int")
