@@ -22,8 +22,8 @@ from tokenizers.models import BPE
 
 from .scan import Text, slices
 
-TEXT_LIMIT = 1 << 21
-CACHE = 1 << 24  # bytes of pieces, as Python objects, in each of two generations
+TEXT_LIMIT = 1 << 22
+CACHE = 1 << 26  # bytes of pieces, as Python objects, in each of two generations
 _OBJECTS = 200  # bytes of a cached piece besides its own and its ids
 _CUT = np.zeros(256, bool)
 _CUT[[0x20, 0x0A]] = True
