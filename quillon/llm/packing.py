@@ -38,7 +38,7 @@ from .staging import stage
 from .tokens import TEXT_LIMIT, encoded
 
 CAPACITY, END = 4096, 1
-SMALL = 1 << 18  # rows of counts that every task may hold: a few MB
+SMALL = 1 << 16  # rows of counts that every task may hold: some 12 MB
 
 
 def pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end: int = END, with_ids: bool = True) -> DataFrame:

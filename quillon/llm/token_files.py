@@ -91,11 +91,12 @@ def write(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id", text:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(1 << 16, np.int64)
         for b in batches:
-            for x in b.column(0).to_pylist():
-                c = np.bincount(_unpacked(x))
-                if len(c) > len(seen):
-                    seen = np.append(seen, np.zeros(len(c) - len(seen), np.int64))
-                seen[: len(c)] += c
+            if not b.num_rows:
+                continue
+            c = np.bincount(np.concatenate([_unpacked(x) for x in b.column(0).to_pylist()]))  # a batch is bounded in bytes
+            if len(c) > len(seen):
+                seen = np.append(seen, np.zeros(len(c) - len(seen), np.int64))
+            seen[: len(c)] += c
         ids = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(seen[ids], pa.int64())], ["id", "count"])
 
