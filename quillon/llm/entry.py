@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_extract, jaccard_join, language, line_dedup, packing, piece_bpe, pii, quality, token_files, url_filter
-from .staging import new_path, stage
+from . import alignment, decontaminate, html_extract, jaccard_join, language, line_dedup, packing, piece_bpe, pii, quality, spelling, token_files, url_filter
+from .staging import new_path, stage, temporary
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -75,13 +75,33 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("size").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    with temporary(spark):
+        found = alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"), a, b)
+        digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+        aligned = stage(found.withColumn("groups_sha256", digest).drop("groups"), "aligned")
+        shards = alignment.count_pairs(aligned, alignment.ids_of(a))
+        out = alignment.look_up(aligned, shards)
+        return stage(out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"), "alignment", keep=True)
+
+
+#: Fixed value: a word loses a code point where this divides its hash.
+DAMAGE = 97
+
+
+def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = stage(spelling.count_words(table(spark, sf_dir, "documents").select("doc_id", "text"), damage=DAMAGE), "spelling-words")
+    return spelling.group(words)
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     out = piece_bpe.decode(piece_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model), model)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), piece_bpe.ids_sha256(F.col("ids")).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_line_dedup, op3_pii_surrogates, op4_packing, op5_quality_rules, op6_language, op7_html_extract, op8_decontaminate, op9_token_files, op10_jaccard_join, op13_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_line_dedup, op3_pii_surrogates, op4_packing, op5_quality_rules, op6_language, op7_html_extract, op8_decontaminate, op9_token_files, op10_jaccard_join, op11_token_alignment, op12_spelling_groups, op13_sentencepiece)}
 
 _WHITE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _BENCH_WORDS = rf"regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"

@@ -36,6 +36,14 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path, whose files go at the end of the scope, if there is one."""
+    path = new_path(spark, name)
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
 def stage(df: DataFrame, name: str, compression: str = "zstd", keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back. Within ``temporary``
     the table goes at the end of it; one to ``keep`` goes with the scope around, if any."""
