@@ -8,9 +8,8 @@ array, one round of which takes the best pair of every word; a long word has a h
 
 No entry of the vocabulary goes on after a space within it, so a text falls into words, each
 with the spaces before it, and no merge crosses. Equal words of a slice are found by Arrow's
-dictionary encoding, and one met lately is looked up. In each Arrow batch, the words that are
-new to the worker are encoded by the sentencepiece library too, and a difference is an error;
-``check`` does so with the whole texts.
+dictionary encoding and encoded once. In each Arrow batch, the sentencepiece library encodes
+the distinct words too, and a difference is an error; ``check`` does so with the whole texts.
 
 Defined results: null and empty texts have no id, and no ids (or null) decode to the empty
 text; a text of any length is handled whole, in memory in proportion to it, which
@@ -21,10 +20,10 @@ name of the result is replaced.
 
 from __future__ import annotations
 
-from array import array
 from functools import cached_property
 from hashlib import sha256
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +35,9 @@ from pyspark.sql import functions as F
 from .scan import LEAD, Text, in_batches, slices
 
 TEXT_LIMIT = 1 << 22
-CACHE = 1 << 26  # bytes of words, as Python objects, in each of two generations
-_OBJECTS = 200  # bytes of a cached word besides its own and its ids
 WIDTHS = (8, 16, 32)  # characters of words that are merged side by side
 ROWS = 1 << 14  # of them at a time
+CHECKED = 32  # words that the library gets at a time
 NEVER, GONE, BEYOND = 2**31 - 1, -1, 1 << 24
 SPACE = "▁"  # stands for a space in the vocabulary
 
@@ -70,9 +68,6 @@ class PieceEncoder:
             chars = [x.encode() for x in piece.replace(SPACE, " ")]
             for a, b in zip(chars, chars[1:], strict=False):
                 self.apart[a[-1], b[0]] = False
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-        self.held = 0
 
     def _demand(self, n: int) -> None:
         """What this encoder does not do is refused and not guessed."""
@@ -85,7 +80,8 @@ class PieceEncoder:
             if own.normalize(probe) != shown:
                 raise ValueError("the vocabulary's normaliser changes texts")
         for probe in ("lower newest widest", "  12é\U0001f642 a"):
-            if array("I", own.encode(probe)).tobytes() != self._spelt(np.array(self._long(self._symbols(" " + probe).tolist()))):
+            long = np.array(self._long(self._symbols(" " + probe).tolist()))
+            if own.encode(probe) != self._spelt_out(long, np.array([0, len(long)]))[0].tolist():
                 raise ValueError("not a merge-type vocabulary")
 
     def _places(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,61 +139,78 @@ class PieceEncoder:
                         heappush(agenda, x << 32 | a)
         return [x for x in symbols if x != GONE]
 
-    def _apart(self, word: bytes) -> list[str]:
+    def _apart(self, word: str) -> list[str]:
         """Two symbols can only merge if an entry holds the characters on both sides of their
         border, so a long word is cut where none does."""
-        d = np.frombuffer(word, np.uint8)
+        d = np.frombuffer(word.encode(), np.uint8)
         cuts = [0, *(np.flatnonzero(self.apart[d[:-1], d[1:]] & LEAD[d[1:]]) + 1).tolist(), len(d)]
-        return [word[a:b].decode() for a, b in zip(cuts, cuts[1:], strict=False)]
+        return [d[a:b].tobytes().decode() for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def _symbols(self, text: str) -> np.ndarray:
         """A character that is no entry has its code point, beyond all ids, for a symbol."""
         return self.first[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
 
-    def _spelt(self, symbols: np.ndarray) -> bytes:
-        if symbols.max(initial=0) < BEYOND:
-            return symbols.astype("<u4").tobytes()
-        return array("I", [y for x in symbols.tolist() for y in ([x] if x < BEYOND else [self.bytes[b] for b in chr(x - BEYOND).encode()])]).tobytes()
-
-    def merge(self, words: list[bytes]) -> list[bytes]:
-        """The ids of each word."""
-        texts = [w.decode() for w in words]
-        length = np.fromiter(map(len, texts), np.int64, len(texts))
-        out: list[bytes] = [b""] * len(words)
-        for width in WIDTHS:
-            of = np.flatnonzero((length <= width) & (length > (0 if width == WIDTHS[0] else width // 2)))
+    def _spelt_out(self, symbols: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols and each word's first, with bytes for the symbols that are no ids."""
+        odd = np.flatnonzero(symbols >= BEYOND)
+        if not len(odd):
+            return symbols, begin
+        kinds, which = np.unique(symbols[odd], return_inverse=True)
+        spelt = [[self.bytes[b] for b in chr(x - BEYOND).encode()] for x in kinds.tolist()]
+        many = np.ones(len(symbols), np.int64)
+        many[odd] = np.array([len(x) for x in spelt])[which]
+        at = np.append(0, np.cumsum(many))
+        out = np.repeat(symbols, many)
+        for k in range(4):
+            own = np.array([x[k] if k < len(x) else GONE for x in spelt])[which]
+            out[at[odd[own != GONE]] + k] = own[own != GONE]
+        return out, at[begin]
+
+    def merge(self, words: bytes, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words that ``offs`` deals out, and each one's first (one more entry
+        at the end)."""
+        text = words.decode()
+        symbols = self._symbols(text)
+        at = np.append(0, np.cumsum(LEAD[np.frombuffer(words, np.uint8)]))[offs]
+        length = np.diff(at)
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # words, their numbers of ids, ids
+        for low, width in zip((0, *WIDTHS), WIDTHS, strict=False):
+            of = np.flatnonzero((length > low) & (length <= width))
             for k in range(0, len(of), ROWS):
                 part = of[k : k + ROWS]
                 cells = np.full((len(part), width + 1), GONE, np.int32)
-                cells[np.arange(width + 1) < length[part, None]] = self._symbols("".join([texts[i] for i in part.tolist()]))
+                where = np.arange(width + 1)
+                inside = where < length[part, None]
+                cells[inside] = symbols[(at[part, None] + where)[inside]]
                 self._side_by_side(cells)
                 stay = cells != GONE
-                flat, ends = cells[stay], np.cumsum(stay.sum(1)).tolist()
-                whole, begin = flat.astype("<u4").tobytes(), 0
-                for i, end, odd in zip(part.tolist(), ends, (cells >= BEYOND).any(1).tolist(), strict=True):
-                    out[i] = self._spelt(flat[begin:end]) if odd else whole[4 * begin : 4 * end]
-                    begin = end
+                parts.append((part, stay.sum(1), cells[stay]))
         for i in np.flatnonzero(length > WIDTHS[-1]).tolist():
-            out[i] = b"".join([self._spelt(np.array(self._long(self._symbols(x).tolist()), np.int64)) for x in self._apart(words[i])])
-        return out
-
-    def _words(self, words: list[bytes]) -> list[bytes]:
-        """Ids of the words, looked up or made. The library adds the first of a word's spaces
-        by itself."""
-        out = [self.new.get(x) or self.old.get(x) for x in words]
-        fresh = [i for i, got in enumerate(out) if got is None]
-        new = [words[i] for i in fresh]
-        for i, ids, own in zip(fresh, self.merge(new), self.library.encode([x[1:].decode() for x in new], num_threads=1), strict=True):
-            if ids != array("I", own).tobytes() and words[i] != b" ":  # the library gives an empty text no space
-                raise ValueError(f"the library has other ids for {words[i]!r}")
-            out[i] = ids
-        if self.held > CACHE:
-            self.old, self.new, self.held = self.new, {}, 0
-        for x, ids in zip(words, out, strict=True):
-            if x not in self.new:
-                self.held += len(x) + len(ids) + _OBJECTS
-                self.new[x] = ids
-        return out
+            ids = [x for piece in self._apart(text[at[i] : at[i + 1]]) for x in self._long(self._symbols(piece).tolist())]
+            parts.append((np.array([i]), np.array([len(ids)]), np.array(ids, np.int32)))
+        many = np.zeros(len(length), np.int64)
+        for part, n, _ in parts:
+            many[part] = n
+        begin = np.append(0, np.cumsum(many))
+        out = np.empty(begin[-1], np.int32)
+        for part, n, ids in parts:
+            out[np.arange(len(ids)) + np.repeat(begin[part] - (np.cumsum(n) - n), n)] = ids
+        return self._spelt_out(out, begin)
+
+    def _checked(self, words: bytes, offs: np.ndarray, ids: np.ndarray, begin: np.ndarray) -> None:
+        """The library encodes the words too, some at a time, as they follow one another. It
+        adds the first of their spaces by itself."""
+        data = np.frombuffer(words, np.uint8)
+        blank = np.diff(offs) == np.diff(np.append(0, np.cumsum(data == 0x20))[offs])  # else they would join the next word
+        for i in np.flatnonzero(blank & (np.diff(offs) > 1)).tolist():  # the library gives an empty text no space
+            if self.library.encode(" " * int(offs[i + 1] - offs[i] - 1)) != ids[begin[i] : begin[i + 1]].tolist():
+                raise ValueError("the library has other ids for spaces")
+        stay = np.flatnonzero(~blank)
+        text = data[np.repeat(~blank, np.diff(offs))].tobytes()
+        cuts = np.append(0, np.cumsum(np.diff(offs)[stay]))[:: CHECKED].tolist()
+        own = self.library.encode([text[a:b].decode()[1:] for a, b in zip(cuts, [*cuts[1:], len(text)], strict=True) if b > a], num_threads=1)
+        if not np.array_equal(ids[np.repeat(~blank, np.diff(begin))], np.fromiter(chain.from_iterable(own), np.int32)):
+            raise ValueError("the library has other ids for words of the batch")
 
     def encode(self, t: Text) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, whose spaces in front are there already, and where each
@@ -210,16 +223,17 @@ class PieceEncoder:
         cut[t.offs[:-1][np.diff(t.offs) > 0]] = True
         cuts = np.flatnonzero(cut)
         edges = np.append(cuts, len(d)).astype(np.int64)
-        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(d))]).dictionary_encode()
-        ids = self._words(words.dictionary.to_pylist())
-        flat = np.frombuffer(b"".join(ids), "<u4")
-        length = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
-        start, code = np.cumsum(length) - length, words.indices.to_numpy()
-        many = length[code]
-        before = np.zeros(len(many) + 1, np.int64)
-        np.cumsum(many, out=before[1:])
-        out = flat[np.arange(before[-1]) + np.repeat(start[code] - before[:-1], many)]
-        return out, before[np.searchsorted(cuts, t.offs)]
+        found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(d))]).dictionary_encode()
+        words = found.dictionary
+        offs = np.frombuffer(words.buffers()[1], np.int64, len(words) + 1, words.offset * 8)
+        text = words.buffers()[2].slice(offs[0], offs[-1] - offs[0]).to_pybytes()
+        ids, begin = self.merge(text, offs - offs[0])
+        self._checked(text, offs - offs[0], ids, begin)
+        code = found.indices.to_numpy()
+        many = np.diff(begin)[code]
+        before = np.append(0, np.cumsum(many))
+        out = ids[np.arange(before[-1]) + np.repeat(begin[code] - before[:-1], many)]
+        return out.astype("<u4"), before[np.searchsorted(cuts, t.offs)]
 
     @cached_property
     def spelt(self) -> tuple[np.ndarray, np.ndarray]:
@@ -250,7 +264,7 @@ _encoders: dict[str, PieceEncoder] = {}
 
 
 def piece_encoder(path: str) -> PieceEncoder:
-    """This process's encoder for the file, with what it has cached."""
+    """This process's encoder for the file."""
     if path not in _encoders:
         _encoders[path] = PieceEncoder(path)
     return _encoders[path]

@@ -36,9 +36,9 @@ def test_any_text(texts):
     assert piece_bpe.encode_texts(pa.array(texts, pa.string()), MODEL).to_pylist() == [own.encode(x) for x in texts]
 
 
-def test_cache_that_is_full(library, monkeypatch):
-    monkeypatch.setattr(piece_bpe, "CACHE", 2000)
+def test_small_slices(library, monkeypatch):
     monkeypatch.setattr(piece_bpe, "TEXT_LIMIT", 50)
+    monkeypatch.setattr(piece_bpe, "ROWS", 3)
     texts = [f"word{i % 37} other{i % 11}, more {i}" for i in range(300)]
     assert piece_bpe.encode_texts(pa.array(texts), MODEL, check=True).to_pylist() == [library.encode(x) for x in texts]
 
