@@ -6,32 +6,17 @@ or shuffle is needed, and the file source's log makes each file count once.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.npy import _ARROW, FIELDS, _cell, decode
+from ..sources import npy
 
 FILES = "path string, modificationTime timestamp, length long, content binary"
-FLAGS = "is_first boolean, is_last boolean, is_terminal boolean, reward float, discount float"
 
 
 def flagged(files: DataFrame, demo: bool = True) -> DataFrame:
     """Steps with position and flags of a table or stream of path and content."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for path, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                steps = decode(content.as_py())
-                last = [i == len(steps) - 1 for i in range(len(steps))]
-                columns = [pa.array([path] * len(steps), pa.string()), pa.array(range(len(steps)), pa.int64())]
-                columns += [pa.array([_cell(s.get(k), t) for s in steps], t) for k, t in _ARROW.items()]
-                columns += [pa.array([i == 0 for i in range(len(steps))], pa.bool_()), pa.array(last, pa.bool_()), pa.array([x and demo for x in last], pa.bool_()), pa.array([float(x and demo) for x in last], pa.float32()), pa.array([1.0] * len(steps), pa.float32())]
-                yield pa.RecordBatch.from_arrays(columns, ["episode_id", "step_index", *_ARROW, "is_first", "is_last", "is_terminal", "reward", "discount"])
-
-    return files.select("path", "content").mapInArrow(run, f"episode_id string, step_index long, {FIELDS}, {FLAGS}")
+    return npy.decoded(files, [c for c in npy.ALL if c != "n_steps"], demo)
 
 
 def ingest(spark: SparkSession, folder: str, out: str, checkpoint: str, pattern: str = "*.npy", demo: bool = True) -> StreamingQuery:
