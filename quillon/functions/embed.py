@@ -38,3 +38,17 @@ def embed_distinct(df: DataFrame, text: str, embedder: Embedder, name: str) -> D
     vectors come back by a join that Spark plans by their size."""
     vectors = df.select(text).where(F.col(text).isNotNull()).distinct().withColumn(name, embedder.column(F.col(text)))
     return df.join(vectors, text, "left")
+
+
+BROADCAST_BYTES = 1 << 26  # of the vectors
+
+
+def embed_in_place(df: DataFrame, texts: DataFrame, text: str, embedder: Embedder, name: str, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df``, whose rows may be large and are not shuffled, with the embedding of ``text``.
+    ``texts`` has the texts alone. If the vectors of the distinct ones take ``most`` bytes at
+    most, they are made once and broadcast, else each row's is made where the row is."""
+    distinct = texts.select(text).where(F.col(text).isNotNull()).distinct()
+    few = most // (4 * embedder.size)
+    if distinct.limit(few + 1).count() > few:
+        return df.withColumn(name, F.when(F.col(text).isNotNull(), embedder.column(F.col(text))))
+    return df.join(F.broadcast(distinct.withColumn(name, embedder.column(F.col(text)))), text, "left")

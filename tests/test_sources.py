@@ -1,10 +1,16 @@
 """Recordings, stored datasets and record files: round trips, commits and pruning."""
 
+import subprocess
+import sys
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quillon.sources import npy, store
+from quillon import cli
+from quillon.functions import embed
+from quillon.plans.schema import EpisodeSchema, Feature
+from quillon.sources import dataset, npy, store
 
 
 def episodes_of(spark, lengths, images=True):
@@ -120,3 +126,142 @@ def test_stream_of_recordings(spark, tmp_path):
     run()
     got = spark.read.parquet(out)
     assert got.count() == 9 and got.where("is_last").count() == 3
+
+
+# --- datasets
+
+
+SMALL = EpisodeSchema(steps=(Feature("image", "uint8", "Camera.", (4, 4, 3), "png"), Feature("action", "float32", "Action.", (3,)), Feature("language_instruction", "text", "Text.")))
+
+
+def small(spark, lengths, split="train"):
+    return episodes_of(spark, lengths).withColumn("split", F.lit(split))
+
+
+def test_images_are_stored_as_png(spark, tmp_path):
+    path, steps = f"file://{tmp_path}/d", small(spark, [2, 3])
+    made = dataset.write(steps, path, SMALL)
+    assert made.splits == {"train": {"n_episodes": 2, "n_steps": 5, "n_bytes": made.splits["train"]["n_bytes"]}, "val": {"n_episodes": 0, "n_steps": 0, "n_bytes": 0}}
+    raw = spark.read.parquet(f"{path}/{made.data}/steps")
+    assert raw.schema["image"].metadata["encoding"] == "png"
+    stored = raw.collect()
+    assert all(bytes(r.image[:8]) == b"\x89PNG\r\n\x1a\n" for r in stored) and sum(len(r.image) for r in stored) == made.splits["train"]["n_bytes"]
+    back = dataset.read(spark, path)
+    assert back.schema["image"].metadata["encoding"] == "" and back.schema["image"].metadata["shape"] == [4, 4, 3]
+    key = lambda r: (r.episode_id, r.step_index)
+    assert [r.image for r in sorted(back.collect(), key=key)] == [r.image for r in sorted(steps.collect(), key=key)]
+    plan = back.select("action")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "image" not in plan.split("ReadSchema")[-1]
+    assert [tuple(r) for r in dataset.summary(spark, path).orderBy("split").collect()] == [("train", 2, 5, made.splits["train"]["n_bytes"]), ("val", 0, 0, 0)]
+
+
+def test_versions(spark, tmp_path):
+    path = f"file://{tmp_path}/d"
+    with pytest.raises(FileNotFoundError):
+        dataset.read(spark, path)
+    dataset.write(small(spark, [2]), path, SMALL)
+    with pytest.raises(FileExistsError, match="already exists"):
+        dataset.write(small(spark, [9]), path, SMALL)
+    two = dataset.write(small(spark, [3], "val"), path, SMALL, overwrite=True, description="second")
+    assert two.number == 2 and dataset.version(spark, path).description == "second"
+    assert dataset.read(spark, path).count() == 3 and dataset.read(spark, path, number=1).count() == 2
+    assert dataset.read(spark, path, "train").count() == 0 and dataset.read(spark, path, "val").count() == 3
+    assert dataset.vacuum(spark, path) == [1] and dataset.versions(spark, path) == [2]
+    assert dataset.read(spark, path).count() == 3 and len(list((tmp_path / "d" / "data").iterdir())) == 1
+    with pytest.raises(FileNotFoundError):
+        dataset.read(spark, path, number=1)
+
+
+def test_a_killed_write_leaves_the_old_version(spark, tmp_path, monkeypatch):
+    path = f"file://{tmp_path}/d"
+    dataset.write(small(spark, [2, 2]), path, SMALL)
+    before = sorted(map(str, dataset.read(spark, path).collect()))
+    bad = small(spark, [3, 3]).withColumn("language_instruction", F.when(F.col("step_index") == 2, F.raise_error(F.lit("broken"))).otherwise("x"))
+    with pytest.raises(Exception, match="broken"):
+        dataset.write(bad, path, SMALL, overwrite=True)
+    with pytest.raises(ValueError, match="duplicate"):
+        dataset.write(small(spark, [3]).union(small(spark, [3])), path, SMALL, overwrite=True)
+    with pytest.raises(ValueError, match="no split"):
+        dataset.write(small(spark, [3], "other"), path, SMALL, overwrite=True)
+    assert len(list((tmp_path / "d" / "data").iterdir())) == 1  # what failed is gone
+
+    def killed(self, name, text):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:  # a process that dies before its entry, and cannot clean up
+        m.setattr(store.Files, "publish", killed)
+        m.setattr(store.Files, "delete", lambda self, name: None)
+        with pytest.raises(KeyboardInterrupt):
+            dataset.write(small(spark, [7]), path, SMALL, overwrite=True)
+    assert sorted(map(str, dataset.read(spark, path).collect())) == before and dataset.versions(spark, path) == [1]
+    assert len(list((tmp_path / "d" / "data").iterdir())) == 2
+    dataset.vacuum(spark, path)
+    assert len(list((tmp_path / "d" / "data").iterdir())) == 1 and dataset.read(spark, path).count() == 4
+
+
+def test_one_of_two_writers_succeeds(spark, tmp_path, monkeypatch):
+    path = f"file://{tmp_path}/d"
+    dataset.write(small(spark, [1]), path, SMALL)
+    publish = store.Files.publish
+
+    def late(self, name, text):  # another has just made the version
+        assert publish(self, name, text.replace('"description": ""', '"description": "first"'))
+        return publish(self, name, text)
+
+    with monkeypatch.context() as m:
+        m.setattr(store.Files, "publish", late)
+        with pytest.raises(FileExistsError, match="another writer"):
+            dataset.write(small(spark, [2]), path, SMALL, overwrite=True)
+    assert dataset.version(spark, path).description == "first"
+
+
+def test_steps_are_computed_once(spark, tmp_path):
+    path, seen = f"file://{tmp_path}/d", spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    steps = small(spark, [2, 3])
+    names = steps.select("split", "episode_id").distinct().withColumn("file_path", F.col("episode_id"))
+    extra = spark.createDataFrame([("val", "empty", "p")], names.schema)
+    made = dataset.write(steps.mapInArrow(run, steps.schema), path, SMALL, names.union(extra))
+    assert seen.value == 5 and made.splits["val"] == {"n_episodes": 1, "n_steps": 0, "n_bytes": 0}
+    assert sorted(r.n_steps for r in dataset.read(spark, path, table="episodes").collect()) == [0, 2, 3]
+    assert made.schema["fields"][3]["metadata"]["shape"] == [4, 4, 3]
+
+
+def test_catalogue(spark, tmp_path):
+    folder = f"file://{tmp_path}/names"
+    with pytest.raises(KeyError):
+        dataset.Catalogue(spark, folder).find("mine")
+    dataset.Catalogue(spark, folder).register("mine", "file:///a")
+    dataset.Catalogue(spark, folder).register("mine", "file:///b")
+    dataset.Catalogue(spark, folder).register("other-1", "file:///c")
+    assert dataset.Catalogue(spark, folder).find("mine") == "file:///b" and dataset.Catalogue(spark, folder).names() == ["mine", "other-1"]
+    for bad in ("", "a/b", ".."):
+        with pytest.raises(ValueError):
+            dataset.Catalogue(spark, folder).register(bad, "x")
+
+
+def test_names_in_a_new_process(spark, tmp_path, capsys):
+    path, folder = f"file://{tmp_path}/out", f"file://{tmp_path}/names"
+    steps = episodes_of(spark, [2, 1], images=False).withColumn("image", F.expr(f"unhex(repeat('1f', {64 * 64 * 3}))"))
+    steps = steps.withColumns({c: F.expr("cast(array_repeat(0.5, 10) as array<float>)") for c in ("state", "action")}).withColumn("wrist_image", F.col("image"))
+    npy.write(steps, f"file://{tmp_path}/raw")
+    assert cli.main(["build", path, "--split", f"train=file://{tmp_path}/raw/*/*.npy", "--name", "mine", "--catalogue", folder]) == 0
+    assert "version 1" in capsys.readouterr().out
+    code = "import sys; from quillon import cli; sys.exit(cli.main(sys.argv[1:]))"
+    got = subprocess.run([sys.executable, "-c", code, "validate", "mine", "--catalogue", folder], capture_output=True, text=True, timeout=300)
+    assert got.returncode == 0 and "passed" in got.stdout
+
+
+def test_build_shuffles_no_image(spark, tmp_path):
+    npy.write(episodes_of(spark, [2, 3]), f"file://{tmp_path}/raw")
+    given = f"file://{tmp_path}/raw/*/*.npy"
+    for most in (1 << 20, 0):  # vectors that are broadcast, and too many for it
+        steps = embed.embed_in_place(npy.read(spark, given, npy.ALL), npy.read(spark, given, ["language_instruction"]), "language_instruction", embed.HashEmbedder(4), "language_embedding", most)
+        plan = steps._jdf.queryExecution().executedPlan().toString()
+        assert not [x for x in plan.split("\n") if "Exchange hash" in x and "image" in x] and "SortMergeJoin" not in plan
+        assert all(len(r.language_embedding) == 4 for r in steps.collect())
