@@ -27,7 +27,7 @@ def working_folder(spark: SparkSession) -> str:
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if _own_folder is None:
         _own_folder = "file://" + tempfile.mkdtemp(prefix="quillon-data-")

@@ -1,16 +1,20 @@
 """Recordings, stored datasets and record files: round trips, commits and pruning."""
 
+import io
+import struct
 import subprocess
 import sys
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quillon import cli
 from quillon.functions import embed
 from quillon.plans.schema import EpisodeSchema, Feature
-from quillon.sources import dataset, npy, store
+from quillon.sources import dataset, npy, store, tfrecord
 
 
 def episodes_of(spark, lengths, images=True):
@@ -77,8 +81,6 @@ def test_partitions_and_filters(spark, tmp_path):
 
 
 def test_a_batch_is_bounded(monkeypatch):
-    import io
-
     steps = np.empty(10, object)
     steps[:] = [{"image": np.full(1000, i, np.uint8)} for i in range(10)]
     out = io.BytesIO()
@@ -265,3 +267,108 @@ def test_build_shuffles_no_image(spark, tmp_path):
         plan = steps._jdf.queryExecution().executedPlan().toString()
         assert not [x for x in plan.split("\n") if "Exchange hash" in x and "image" in x] and "SortMergeJoin" not in plan
         assert all(len(r.language_embedding) == 4 for r in steps.collect())
+
+
+# --- record files
+
+
+def crc32c(data):
+    """A bit at a time."""
+    crc = 0xFFFFFFFF
+    for b in data:
+        crc ^= b
+        for _ in range(8):
+            crc = crc >> 1 ^ (0x82F63B78 if crc & 1 else 0)
+    return crc ^ 0xFFFFFFFF
+
+
+def masked(data):
+    crc = crc32c(data)
+    return ((crc >> 15 | crc << 17) + 0xA282EAD8) & 0xFFFFFFFF
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.binary(max_size=70), max_size=6))
+def test_checksums(records):
+    assert crc32c(b"123456789") == 0xE3069283  # the check value of the code's definition
+    block, tfrecord.BLOCK = tfrecord.BLOCK, 16
+    tfrecord._over_block.cache_clear()
+    try:
+        assert tfrecord.masked_crcs(records).tolist() == [masked(r) for r in records]
+    finally:
+        tfrecord.BLOCK = block
+        tfrecord._over_block.cache_clear()
+
+
+def test_checksums_of_long_records():
+    r = np.random.default_rng(1)
+    records = [r.integers(0, 256, n).astype(np.uint8).tobytes() for n in (0, 1, 1023, 1024, 1025, 9000)]
+    assert tfrecord.masked_crcs(records).tolist() == [masked(x) for x in records]
+
+
+EXAMPLES = "id long, small int, yes boolean, word string, raw binary, one float, many array<float>, counts array<long>, flags array<boolean>, words array<string>"
+
+
+def test_record_files_round_trip(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    rows = [
+        (2**63 - 1, -5, True, "ü\n", b"\x00\xff", 0.1, [1.5, -0.0, 3e38], [-(2**63), 0, 300], [True, False], ["", "é"]),
+        (None,) * 10,
+        (0, 0, False, "", b"", float("inf"), [], [], [], []),
+        *[(i, i, i % 2 == 0, "x" * i, bytes([i]) * (100 * i), float(i), [float(i)] * i, [i] * i, [True] * i, ["w"] * i) for i in range(40)],
+    ]
+    df = spark.createDataFrame(rows, EXAMPLES).repartition(3)
+    tfrecord.write(df, path)
+    back = tfrecord.read(spark, path, EXAMPLES)
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+    assert sorted(r.word or "" for r in tfrecord.read(spark, path, "word string").collect()) == sorted(r[3] or "" for r in rows)
+    assert tfrecord.read(spark, path, "absent float").where("absent IS NOT NULL").count() == 0
+    tfrecord.write(df.limit(2), path, overwrite=True)
+    assert tfrecord.read(spark, path, EXAMPLES).count() == 2
+    tfrecord.write(df.limit(0), path, overwrite=True)
+    assert tfrecord.read(spark, path, EXAMPLES).count() == 0
+    for columns, error in (("x double", "do not hold"), ("x map<string,int>", "do not hold")):
+        with pytest.raises(Exception, match=error):
+            tfrecord.write(spark.createDataFrame([], columns), path)
+    with pytest.raises(Exception, match="no null within"):
+        tfrecord.write(spark.createDataFrame([([1.0, None],)], "x array<float>"), path)
+    with pytest.raises(Exception, match="declare the columns"):
+        spark.read.format("tfrecord").load(path)
+
+
+def test_bytes_of_a_record():
+    """Spelt out by hand: a length, its checksum, {"a": ints [3]}, its checksum."""
+    message = bytes([0x0A, 0x0C, 0x0A, 0x0A, 0x0A, 1, ord("a"), 0x12, 5, 0x1A, 3, 0x0A, 1, 3])
+    assert tfrecord.example({"a": 3}, {"a": (3, False)}) == message
+    head = struct.pack("<Q", 14)
+    assert tfrecord.framed([message]) == head + struct.pack("<I", masked(head)) + message + struct.pack("<I", masked(message))
+    apart = bytes([0x0A, 0x0E, 0x0A, 0x0C, 0x0A, 1, ord("a"), 0x12, 7, 0x1A, 5, 0x08, 3, 0x08, 0xAC, 0x02])  # not packed
+    assert tfrecord.parsed(apart, {"a"}) == {"a": (3, [3, 300])}
+    assert tfrecord.parsed(message, {"b"}) == {}
+
+
+def test_broken_record_files(spark, tmp_path):
+    tfrecord.write(spark.createDataFrame([(i, "x" * 50) for i in range(9)], "id long, s string").coalesce(1), f"file://{tmp_path}/t")
+    file = next((tmp_path / "t").rglob("*.tfrecord"))
+    whole = file.read_bytes()
+    for at, error in ((0, "bad checksum in the record at byte 0"), (20, "at byte 0"), (len(whole) - 1, "bad checksum"), (None, "cut off")):
+        broken = whole[:-3] if at is None else whole[:at] + bytes([whole[at] ^ 1]) + whole[at + 1 :]
+        with pytest.raises(ValueError, match=error):
+            list(tfrecord.unframed(io.BytesIO(broken), "f"))
+    file.write_bytes(whole[:-3])
+    with pytest.raises(Exception, match="cut off"):
+        tfrecord.read(spark, f"file://{tmp_path}/t", "id long").collect()
+    assert [len(x) for x in tfrecord.unframed(io.BytesIO(whole), "f", 100)] == [2, 2, 2, 2, 1]
+
+
+def test_files_of_bounded_size(spark, tmp_path):
+    df = spark.createDataFrame([(i, "x" * 1000) for i in range(50)], "id long, s string").coalesce(1)
+    spark.dataSource.register(tfrecord.TFRecords)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        df.write.format("tfrecord").option("fileBytes", 25000).mode("append").save(f"file://{tmp_path}/t")
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(store.listed(f"file://{tmp_path}/t")) == 3
+    few = spark.read.format("tfrecord").schema("id long").option("partitionBytes", 1).load(f"file://{tmp_path}/t")
+    assert few.rdd.getNumPartitions() == 3 and few.count() == 50
