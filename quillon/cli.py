@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from .functions.embed import HashEmbedder, embed_in_place
-from .operators.profile import vector_histogram, vector_mean
+from .operators import dense
 from .operators.sample import sampled_steps
 from .plans.schema import EpisodeSchema
 from .plans.spec import TARGET, violations
@@ -53,8 +53,8 @@ def profile(spark: SparkSession, a: argparse.Namespace) -> int:
     steps = dataset.read(spark, _found(spark, a), a.split, number=a.version)
     if a.episodes:
         steps = sampled_steps(steps, dataset.KEYS, a.episodes, a.seed)
-    vector_mean(steps, ["action", "state"]).orderBy("kind", "dim").show(200)
-    vector_histogram(steps, ["action", "state"]).groupBy("kind", "dim").agg(F.sort_array(F.collect_list(F.struct("bin", "n"))).alias("bins")).orderBy("kind", "dim").show(200, truncate=False)
+    dense.means(steps, ["action", "state"]).orderBy("kind", "dim").show(200)
+    dense.histogram(steps, ["action", "state"]).groupBy("kind", "dim").agg(F.sort_array(F.collect_list(F.struct("bin", "n"))).alias("bins")).orderBy("kind", "dim").show(200, truncate=False)
     return 0
 
 

@@ -20,10 +20,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import embed, images, vectors
-from .operators import episodes, profile, sample
+from .operators import dense, episodes, positions, profile, sample
 from .plans import spec as specs
+from .plans.schema import EpisodeSchema, Feature
 from .plans.transform import ACTION_SLICES, COPIED, Target
-from .sources import synthetic
+from .sources import dataset, npy, synthetic, tfrecord
+from .sources.store import new_folder
 
 ORDER_KEY = ["l_orderkey"]
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
@@ -92,6 +94,22 @@ def last_step(spark, sf_dir):
     return profile.last_step(conversation_steps(spark, sf_dir), ["conv_id"])
 
 
+def _one_long_episode(spark, sf_dir) -> DataFrame:
+    """Half of all events are one user's."""
+    t = table(spark, sf_dir, "events")
+    return t.select(F.when(F.col("event_id") % 2 == 0, -1).otherwise(F.col("user_id")).cast("long").alias("user_id"), "ts", "event_id", "event_type")
+
+
+def long_episode_flags(spark, sf_dir):
+    out = positions.place_steps(_one_long_episode(spark, sf_dir), ["user_id"], ["ts", "event_id"])
+    return out.select("user_id", "event_id", "step_index", "is_first", "is_last", "is_terminal", "reward", "discount")
+
+
+def long_last_step(spark, sf_dir):
+    placed = positions.place_steps(_one_long_episode(spark, sf_dir), ["user_id"], ["ts", "event_id"])
+    return positions.last_steps(placed, ["user_id"]).select("user_id", "event_id", "step_index", "event_type")
+
+
 # --- nesting, keys, splits
 
 
@@ -227,21 +245,21 @@ def ragged_vectors(spark, sf_dir):
 
 
 def vector_mean(spark, sf_dir):
-    return profile.vector_mean(order_steps(spark, sf_dir), ["action", "state"]).select("kind", "dim", F.round("mean", 6).alias("mean"), "n")
+    return dense.means(order_steps(spark, sf_dir), ["action", "state"]).select("kind", "dim", F.round("mean", 6).alias("mean"), "n")
 
 
 def embedding_mean(spark, sf_dir):
     t = table(spark, sf_dir, "embeddings").select("embedding")
-    return profile.vector_mean(t, ["embedding"]).select("dim", F.round("mean", 6).alias("mean"), "n")
+    return dense.means(t, ["embedding"]).select("dim", F.round("mean", 6).alias("mean"), "n")
 
 
 def vector_histogram(spark, sf_dir):
-    return profile.vector_histogram(order_steps(spark, sf_dir), ["action", "state"])
+    return dense.histogram(order_steps(spark, sf_dir), ["action", "state"])
 
 
 def vector_nonfinite(spark, sf_dir):
     t = table(spark, sf_dir, "events").select(F.array("value", F.expr("case when value > 400 then cast('NaN' as double) else value end")).alias("state"))
-    return profile.vector_nonfinite(t, ["state"])
+    return dense.nonfinite(t, ["state"])
 
 
 def sample_episodes(spark, sf_dir):
@@ -321,9 +339,11 @@ def lanczos_resize_steps(spark, sf_dir):
 
 
 def png_roundtrip_steps(spark, sf_dir):
-    steps = _image_steps(spark, sf_dir, TARGET)
-    same = images.decode_png(images.encode_png(F.col("image"), *TARGET[:2])) == F.col("image")
-    return steps.select("conv_id", "step_index", same.alias("same"), F.length("image").cast("long").alias("n_bytes"))
+    """Pixels are compared by their digest, so that only one form of an image is held."""
+    steps = _image_steps(spark, sf_dir, TARGET).select("conv_id", "step_index", "image", F.sha2("image", 256).alias("digest"))
+    stored = images.encode_columns(steps, {"image": TARGET})
+    back = stored.select("conv_id", "step_index", "digest", images.decode_png(F.col("image")).alias("image"))
+    return back.select("conv_id", "step_index", (F.sha2("image", 256) == F.col("digest")).alias("same"), F.length("image").cast("long").alias("n_bytes"))
 
 
 def image_strip_steps(spark, sf_dir):
@@ -339,11 +359,76 @@ def synthetic_source(spark, sf_dir):
     return s.groupBy("split").agg(F.count_distinct("episode_id").alias("n_episodes"), F.count("*").alias("n_steps"), F.bool_and(ok).alias("in_range"))
 
 
+# --- sources and sinks: what the tables hold is written, and read back
+
+
+def _action(turn: str, text: str) -> Column:
+    return F.array(F.col(turn).cast("float"), F.length(text).cast("float"), (F.col(turn) / 4).cast("float"))
+
+
+def recordings_scan(spark, sf_dir):
+    """A recording for each conversation, and its steps as the format reads them."""
+    path = new_folder(spark, "recordings")
+    steps = conversation_steps(spark, sf_dir).withColumn("episode_id", F.concat(F.lit("conv-"), "conv_id"))
+    npy.write(steps.withColumn("action", _action("step_index", "language_instruction")), path)
+    read = npy.scan(spark, path, ["episode_id", "step_index", "action", "language_instruction", "n_steps", "is_first", "is_last", "reward"])
+    conv = F.regexp_extract("episode_id", r"conv-(\d+)\.npy$", 1).cast("long")
+    return read.select(conv.alias("conv_id"), "step_index", *vectors.unnested(F.col("action"), ["a0", "a1", "a2"]), "language_instruction", "n_steps", "is_first", "is_last", "reward")
+
+
+#: A small stored form of the conversations.
+FRAME = (8, 8, 3)
+STORED = EpisodeSchema(
+    steps=(
+        Feature("image", "uint8", "A frame by formula.", FRAME, "png"),
+        Feature("action", "float32", "Turn, length of its text, a quarter of the turn.", (3,)),
+        Feature("reward", "float", "1 on the last step."),
+        Feature("is_last", "bool", "Last step."),
+        Feature("language_instruction", "text", "The turn's text."),
+    )
+)
+
+
+def _stored_steps(spark, sf_dir) -> DataFrame:
+    steps = flagged_conversations(spark, sf_dir).withColumns({"split": split_of("conv_id"), "episode_id": F.col("conv_id").cast("string"), "action": _action("step_index", "language_instruction")})
+    return steps.withColumn("image", _frames(F.col("conv_id") + F.col("step_index"), FRAME))
+
+
+def dataset_write_read(spark, sf_dir):
+    """One split of a stored dataset, its images decoded."""
+    path = new_folder(spark, "dataset")
+    dataset.write(_stored_steps(spark, sf_dir), path, STORED)
+    back = dataset.read(spark, path, "val")
+    return back.select(F.col("episode_id").cast("long").alias("conv_id"), "step_index", F.sha2(F.lower(F.hex("image")), 256).alias("sha256"), *vectors.unnested(F.col("action"), ["a0", "a1", "a2"]), "reward", "is_last", "language_instruction")
+
+
+def dataset_overwrite(spark, sf_dir):
+    """Steps and summaries of two versions: all steps, then every second one."""
+    path = new_folder(spark, "dataset")
+    steps = _stored_steps(spark, sf_dir)
+    dataset.write(steps, path, STORED)
+    dataset.write(steps.where("step_index % 2 = 0"), path, STORED, overwrite=True)
+    out = None
+    for n in (1, 2):
+        read = dataset.read(spark, path, number=n).groupBy("split").agg(F.count("*").alias("n_read"), F.sum(F.element_at("action", 2)).cast("double").alias("total"))
+        part = dataset.summary(spark, path, n).join(read, "split").select(F.lit(n).cast("long").alias("version"), "split", "n_episodes", "n_steps", "n_read", "total")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def tfrecord_roundtrip(spark, sf_dir):
+    path = new_folder(spark, "records")
+    steps = conversation_steps(spark, sf_dir).select("conv_id", "step_index", "role", "language_instruction", _action("step_index", "language_instruction").alias("action"), (F.col("step_index") == 0).alias("is_first"))
+    tfrecord.write(steps, path)
+    back = tfrecord.read(spark, path, "conv_id long, step_index long, role string, language_instruction string, action array<float>, is_first boolean")
+    return back.select("conv_id", "step_index", "role", "language_instruction", *vectors.unnested(F.col("action"), ["a0", "a1", "a2"]), "is_first")
+
+
 ALL = (
     step_index, episode_length, first_last_terminal, terminal_reward, temporal_stride, last_instruction_caption, last_step, nest_unnest_roundtrip, nested_flags, episode_metadata, zero_step_episodes,
     empty_episodes_nested, duplicate_keys, skip_examples, skipped_count, split_assign, dataset_summary, event_index, slice_head, slice_mid, slice_tail, slice_stride, target_action, copy_fields, check_shape, check_range_uniform,
     check_range_per_dim, violations_report, pass_verdict, ragged_vectors, vector_mean, embedding_mean, vector_histogram, vector_nonfinite, sample_episodes, sampled_steps, hash_embed_distinct, image_strip, lanczos_resize, png_roundtrip,
-    image_strip_steps, lanczos_resize_steps, png_roundtrip_steps, synthetic_source,
+    image_strip_steps, lanczos_resize_steps, png_roundtrip_steps, synthetic_source, long_episode_flags, long_last_step, recordings_scan, dataset_write_read, dataset_overwrite, tfrecord_roundtrip,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in ALL}
 
@@ -400,7 +485,17 @@ _CODE = f"({_DIGIT.format(1)} * 4096 + {_DIGIT.format(2)} * 256 + {_DIGIT.format
 _SAMPLE = "SELECT conv_id FROM (SELECT DISTINCT conv_id FROM conversations) ORDER BY md5('{0}|' || conv_id), conv_id LIMIT {1}"
 _PX = "lpad(lower(hex((31 * (conv_id + turn) + 7 * y + 13 * x + 17 * c) % 256)), 2, '0')"
 
+_LONG_EPISODE = "(SELECT *, row_number() OVER w - 1 AS step_index, count(*) OVER (PARTITION BY u) AS n FROM (SELECT CASE WHEN event_id % 2 = 0 THEN -1 ELSE user_id END AS u, * FROM events) WINDOW w AS (PARTITION BY u ORDER BY ts, event_id))"
+_ACTIONS = "turn::FLOAT AS a0, length(text)::FLOAT AS a1, (turn / 4)::FLOAT AS a2"
+_FRAME_PX = f"SELECT img, sha256(string_agg(lpad(lower(hex((31 * img + 7 * y + 13 * x + 17 * c) % 256)), 2, '0'), '' ORDER BY y, x, c)) AS sha256 FROM (SELECT DISTINCT conv_id + turn AS img FROM conversations), range({FRAME[0]}) a(y), range({FRAME[1]}) b(x), range(3) d(c) GROUP BY img"
+
 ORACLE_SQL: dict[str, str] = {
+    "long_episode_flags": f"SELECT u::BIGINT AS user_id, event_id, step_index, step_index = 0 AS is_first, step_index = n - 1 AS is_last, step_index = n - 1 AS is_terminal, (step_index = n - 1)::INT::FLOAT AS reward, 1::FLOAT AS discount FROM {_LONG_EPISODE}",
+    "long_last_step": f"SELECT u::BIGINT AS user_id, event_id, step_index, event_type FROM {_LONG_EPISODE} WHERE step_index = n - 1",
+    "recordings_scan": f"SELECT conv_id, turn AS step_index, {_ACTIONS}, text AS language_instruction, count(*) OVER (PARTITION BY conv_id) AS n_steps, turn = 0 AS is_first, turn = max(turn) OVER (PARTITION BY conv_id) AS is_last, (turn = max(turn) OVER (PARTITION BY conv_id))::INT::FLOAT AS reward FROM conversations",
+    "dataset_write_read": f"WITH px AS ({_FRAME_PX}) SELECT conv_id, turn AS step_index, sha256, {_ACTIONS}, (turn = max(turn) OVER (PARTITION BY conv_id))::INT::FLOAT AS reward, turn = max(turn) OVER (PARTITION BY conv_id) AS is_last, text AS language_instruction FROM conversations JOIN px ON img = conv_id + turn WHERE conv_id % 10 = 0",
+    "dataset_overwrite": f"SELECT v::BIGINT AS version, {_SPLIT} AS split, count(DISTINCT conv_id) AS n_episodes, count(*) AS n_steps, count(*) AS n_read, sum(length(text))::DOUBLE AS total FROM conversations, range(1, 3) r(v) WHERE turn % v = 0 GROUP BY ALL",
+    "tfrecord_roundtrip": f"SELECT conv_id, turn AS step_index, role, text AS language_instruction, {_ACTIONS}, turn = 0 AS is_first FROM conversations",
     "step_index": f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, step_index FROM ({_INDEXED})",
     "episode_length": "SELECT l_orderkey, count(*) AS n_steps FROM lineitem GROUP BY l_orderkey",
     "first_last_terminal": f"SELECT conv_id, step_index, is_first, is_last, is_last AS is_terminal FROM ({_FLAGS})",
