@@ -6,7 +6,7 @@ Flat tables prune columns, which nested ones often do not; nested episodes are a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 INDEX = "step_index"
@@ -109,6 +109,13 @@ def skip(df: DataFrame, keep: Column) -> tuple[DataFrame, DataFrame]:
     return df.where(ok), df.agg(F.count_if(~ok).alias("skipped"))
 
 
+def skip_in_pass(df: DataFrame, keep: Column) -> tuple[DataFrame, Observation]:
+    """The rows to keep, and counts (``kept``, ``skipped``) that Spark takes while they are
+    written, in the same pass. The counts are there after the first action on the rows."""
+    seen, ok = Observation(), F.coalesce(keep, F.lit(False))
+    return df.observe(seen, F.count_if(ok).alias("kept"), F.count_if(~ok).alias("skipped")).where(ok), seen
+
+
 def summary(steps: DataFrame, keys: list[str], split: str = "split", size: Column | None = None) -> DataFrame:
     """Episodes, steps and bytes of each split; two stages, so a large split is no large
     task."""

@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -151,9 +151,31 @@ def verdict(df: DataFrame, spec: Spec, strict: bool = False) -> DataFrame:
     return df.agg(F.count("*").alias("n_rows"), F.count_if(~good).alias("n_bad_rows")).select((F.col("n_bad_rows") == 0).alias("passed"), "n_rows", "n_bad_rows")
 
 
+def observed(df: DataFrame, spec: Spec, strict: bool = False) -> tuple[DataFrame, Observation]:
+    """``df``, and the verdict's counts (``n_rows``, ``n_bad_rows``) of the rows that pass, taken
+    in the pass that the first action makes."""
+    static = schema_violations(df.schema, spec)
+    if static:
+        raise TypeError(f"the schema does not fit: {static}")
+    good, seen = F.lit(True), Observation()
+    for c in checks(spec, strict):
+        good = good & c.ok
+    return df.observe(seen, F.count(F.lit(1)).alias("n_rows"), F.count_if(~good).alias("n_bad_rows")), seen
+
+
+def first_violation(df: DataFrame, spec: Spec, keys: list[str], strict: bool = False) -> DataFrame:
+    """The violation that ``require`` names: the first in order of keys, field and check."""
+    return violations(df, spec, keys, strict).orderBy(*keys, "place").limit(1)
+
+
+def schema_report(df: DataFrame, spec: Spec) -> DataFrame:
+    """What the schema alone shows, as rows: field, check, expected, actual."""
+    return df.sparkSession.createDataFrame(schema_violations(df.schema, spec), "field string, check string, expected string, actual string")
+
+
 def require(df: DataFrame, spec: Spec, keys: list[str], strict: bool = False) -> DataFrame:
     """``df``, or an error with the first violation in order of keys, field and check."""
-    first = violations(df, spec, keys, strict).orderBy(*keys, "place").limit(1).collect()
+    first = first_violation(df, spec, keys, strict).collect()
     if first:
         r = first[0]
         raise ValueError(f"{[r[k] for k in keys]}: {r['field']} fails its {r['check']} check: expected {r['expected']}, found {r['actual']}")

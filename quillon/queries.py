@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -21,8 +22,9 @@ from pyspark.sql import functions as F
 
 from .functions import embed, images, vectors
 from .operators import dense, episodes, positions, profile, sample
+from .plans import nesting
 from .plans import spec as specs
-from .plans.schema import EpisodeSchema, Feature
+from .plans.schema import STEP_FEATURES, EpisodeSchema, Feature
 from .plans.transform import ACTION_SLICES, COPIED, Target
 from .sources import dataset, npy, synthetic, tfrecord
 from .sources.store import new_folder
@@ -424,11 +426,104 @@ def tfrecord_roundtrip(spark, sf_dir):
     return back.select("conv_id", "step_index", "role", "language_instruction", *vectors.unnested(F.col("action"), ["a0", "a1", "a2"]), "is_first")
 
 
+# --- counts in the pass that writes, orders of epochs, views, stored vectors
+
+
+def skip_write_counts(spark, sf_dir):
+    """Kept rows are written; what was kept and skipped is counted meanwhile."""
+    kept, seen = episodes.skip_in_pass(table(spark, sf_dir, "events").select("event_id", "user_id", "value"), F.col("value") >= 10)
+    path = new_folder(spark, "kept")
+    kept.write.parquet(path)
+    counts = seen.get
+    return spark.read.parquet(path).agg(F.count("*").alias("written"), F.sum("event_id").alias("ids")).select("written", "ids", F.lit(counts["kept"]).alias("kept"), F.lit(counts["skipped"]).alias("skipped"))
+
+
+def verdict_in_pass(spark, sf_dir):
+    """Target actions are written, and checked as they pass."""
+    steps, seen = specs.observed(target_steps(spark, sf_dir), ACTION_SPEC)
+    path = new_folder(spark, "target")
+    steps.write.parquet(path)
+    counts = seen.get
+    return spark.read.parquet(path).groupBy().agg(F.count("*").alias("n_written")).select("n_written", F.lit(counts["n_rows"]).alias("n_rows"), F.lit(counts["n_bad_rows"]).alias("n_bad_rows"))
+
+
+def violation_rows(spark, sf_dir):
+    """Every value out of range, with what was expected."""
+    bad = specs.violations(target_steps(spark, sf_dir), ACTION_SPEC, ["l_orderkey", "step_index"])
+    return bad.select("l_orderkey", "step_index", "field", "check", "expected", F.col("actual").cast("float").alias("actual"))
+
+
+def first_violation(spark, sf_dir):
+    """Where a check that stops at the first violation stops."""
+    first = specs.first_violation(target_steps(spark, sf_dir), ACTION_SPEC, ["l_orderkey", "step_index"])
+    return first.select("l_orderkey", "step_index", "field", "check", "expected", F.col("actual").cast("float").alias("actual"))
+
+
+def epoch_order(spark, sf_dir):
+    return sample.epoch_order(table(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"], seed=7, epoch=2)
+
+
+def _full_steps(spark, sf_dir, shape) -> DataFrame:
+    """Conversations with every feature of the source format."""
+    steps = flagged_conversations(spark, sf_dir).withColumns({"split": split_of("conv_id"), "episode_id": F.col("conv_id").cast("string")})
+    steps = steps.withColumns({"image": _frames(F.col("conv_id") + F.col("step_index"), shape), "state": F.array(F.col("step_index").cast("float"))})
+    steps = steps.withColumn("action", F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: ((F.col("step_index") + i) / 8).cast("float")))
+    return steps.withColumn("language_embedding", embed.HashEmbedder(512).column(F.col("language_instruction")))
+
+
+_PICKED = (0, 1, 511)
+
+
+def target_full_step(spark, sf_dir):
+    """All nine fields of the target, the image at its real size."""
+    out = Target().apply(_full_steps(spark, sf_dir, SOURCE), ["conv_id", "step_index"])
+    image = F.col("observation.image")
+    scalars = [c for c in COPIED if c != "language_embedding"]
+    return out.select("conv_id", "step_index", F.sha2(F.lower(F.hex(image)), 256).alias("sha256"), *vectors.unnested(F.col("action"), [f"a{i}" for i in range(8)]), *scalars, F.size("language_embedding").cast("long").alias("n_embedding"), *[F.get("language_embedding", i).alias(f"e{i}") for i in _PICKED])
+
+
+def target_report(spark, sf_dir):
+    """Every check of the target format over all nine fields."""
+    return specs.report(Target().apply(_full_steps(spark, sf_dir, SOURCE), ["conv_id", "step_index"]), specs.TARGET)
+
+
+#: The source format but for its sizes; the wrist image is optional and not there.
+NESTED = EpisodeSchema(steps=tuple(replace(f, shape=FRAME) if f.kind == "uint8" else f for f in STEP_FEATURES))
+
+
+def nested_view_roundtrip(spark, sf_dir):
+    """Flat steps to the nested view, by the schema, and back."""
+    steps = _full_steps(spark, sf_dir, FRAME)
+    paths = steps.select(*nesting.KEYS).distinct().withColumn("file_path", F.concat(F.lit("/raw/"), "episode_id"))
+    nested = nesting.nested_view(steps, NESTED, paths)
+    back = nesting.flat_view(nested, NESTED).join(nesting.episode_view(nested, NESTED), nesting.KEYS)
+    scalars = ["discount", "reward", "is_first", "is_last", "is_terminal", "language_instruction"]
+    return back.select(F.col("episode_id").cast("long").alias("conv_id"), "split", "step_index", "file_path", "n_steps", F.sha2(F.lower(F.hex("image")), 256).alias("sha256"), F.col("wrist_image").isNull().alias("no_wrist"), F.get("state", 0).alias("s0"), F.get("action", 9).alias("a9"), *scalars, F.get("language_embedding", 511).alias("e511"))
+
+
+def embedding_store(spark, sf_dir):
+    """Two builds over one store: the second embeds what the first has not."""
+    store = embed.EmbeddingStore(spark, new_folder(spark, "vectors"), embed.HashEmbedder(8), "hash")
+    texts = table(spark, sf_dir, "conversations").select(F.col("turn"), F.substring("text", 1, 40).alias("start"))
+    first = store.add(texts.where("turn % 2 = 0"), "start")
+    second = store.add(texts, "start")
+    out = store.embed(texts, "start", "vector")
+    return out.groupBy("start").agg(F.count("*").alias("n"), F.min(F.get("vector", 3)).alias("e3")).withColumns({"first": F.lit(first).cast("long"), "second": F.lit(second).cast("long")})
+
+
+def synthetic_episodes(spark, sf_dir):
+    """An episode of made-up measures for each customer."""
+    rows = table(spark, sf_dir, "customer").select("c_custkey")
+    out = synthetic.for_rows(rows, "c_custkey", F.col("c_custkey") % 4, {"state": 2, "action": 3}, 5, (2, 1, 3))
+    return out.select("c_custkey", "step_index", *vectors.unnested(F.col("state"), ["s0", "s1"]), *vectors.unnested(F.col("action"), ["a0", "a1", "a2"]), F.lower(F.hex("image")).alias("image"))
+
+
 ALL = (
     step_index, episode_length, first_last_terminal, terminal_reward, temporal_stride, last_instruction_caption, last_step, nest_unnest_roundtrip, nested_flags, episode_metadata, zero_step_episodes,
     empty_episodes_nested, duplicate_keys, skip_examples, skipped_count, split_assign, dataset_summary, event_index, slice_head, slice_mid, slice_tail, slice_stride, target_action, copy_fields, check_shape, check_range_uniform,
     check_range_per_dim, violations_report, pass_verdict, ragged_vectors, vector_mean, embedding_mean, vector_histogram, vector_nonfinite, sample_episodes, sampled_steps, hash_embed_distinct, image_strip, lanczos_resize, png_roundtrip,
     image_strip_steps, lanczos_resize_steps, png_roundtrip_steps, synthetic_source, long_episode_flags, long_last_step, recordings_scan, dataset_write_read, dataset_overwrite, tfrecord_roundtrip,
+    skip_write_counts, verdict_in_pass, violation_rows, first_violation, epoch_order, target_full_step, target_report, nested_view_roundtrip, embedding_store, synthetic_episodes,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in ALL}
 
@@ -465,21 +560,45 @@ wide AS (SELECT img, y, o AS x, c, {byte} AS v FROM px JOIN weight ON i = px.x G
 SELECT img, o::BIGINT AS y, x::BIGINT AS x, c::BIGINT AS c, {byte} AS v FROM wide JOIN weight ON i = wide.y GROUP BY img, o, x, c"""
 
 
-def _resize_steps_sql() -> str:
+def _resized_digests() -> str:
+    """The CTEs up to ``done``: img, n_bytes and digest of each image of conversations."""
     w = images.weights(SOURCE[0], TARGET[0])
     rows = ", ".join(f"({o}, {i}, {int(w[o, i])}::BIGINT)" for o in range(TARGET[0]) for i in range(SOURCE[0]) if w[o, i])
     half, full = 1 << (images.BITS - 1), 1 << images.BITS
     byte = f"least(255, greatest(0, floor((sum(w * v) + {half})::DOUBLE / {full})))::BIGINT"
     return f"""
-WITH weight(o, i, w) AS (VALUES {rows}),
+weight(o, i, w) AS (VALUES {rows}),
 seeds AS (SELECT DISTINCT (conv_id + turn) % 256 AS img FROM conversations),
 px AS (SELECT img, y, x, c, (31 * img + 7 * y + 13 * x + 17 * c) % 256 AS v FROM seeds, range({SOURCE[0]}) a(y), range({SOURCE[1]}) b(x), range(3) d(c)),
 wide AS (SELECT img, y, o AS x, c, {byte} AS v FROM px JOIN weight ON i = px.x GROUP BY img, y, o, c),
 tall AS (SELECT img, o AS y, x, c, {byte} AS v FROM wide JOIN weight ON i = wide.y GROUP BY img, o, x, c),
-done AS (SELECT img, count(*)::BIGINT AS n_bytes, sha256(string_agg(lpad(lower(hex(v)), 2, '0'), '' ORDER BY y, x, c)) AS sha256 FROM tall GROUP BY img)
+done AS (SELECT img, count(*)::BIGINT AS n_bytes, sha256(string_agg(lpad(lower(hex(v)), 2, '0'), '' ORDER BY y, x, c)) AS sha256 FROM tall GROUP BY img)"""
+
+
+def _resize_steps_sql() -> str:
+    return f"""
+WITH {_resized_digests()}
 SELECT conv_id, turn AS step_index, n_bytes, sha256 FROM conversations JOIN done ON img = (conv_id + turn) % 256"""
 
 
+def _uniform_sql(label: str, j: int) -> str:
+    return f"(('0x' || substr(md5('5|{label}|' || c_custkey || '|' || i || '|{j}'), 1, 6))::BIGINT / 16777216e0)::FLOAT"
+
+
+def _hash_sql(text: str, j: int) -> str:
+    return f"(('0x' || substr(md5({text} || '#{j}'), 1, 4))::BIGINT / 32767.5e0 - 1)::FLOAT"
+
+
+def _target_report_sql() -> str:
+    """Counts of bad rows: shapes hold by construction, values follow from the turn."""
+    action = specs.TARGET["action"]
+    good = {"observation.image": "true", "language_embedding": "text IS NOT NULL"}
+    parts = [(path, "shape", good.get(path, "true")) for path, leaf in specs.leaves(specs.TARGET) if leaf.shape]
+    parts += [(f"action[{k}]", "range", f"((turn + {d}) / 8)::FLOAT::DOUBLE BETWEEN {float(a)!r}::DOUBLE AND {float(b)!r}::DOUBLE") for k, (d, a, b) in enumerate(zip(TAKEN, action.low, action.high, strict=True))]
+    parts += [(c, "range", "true") for c in ("discount", "reward")]
+    return " UNION ALL ".join(f"SELECT '{f}' AS field, '{c}' AS \"check\", count(*) FILTER (WHERE NOT coalesce({g}, false)) AS n_bad, count(*) FILTER (WHERE {g}) AS n_good FROM conversations" for f, c, g in parts)
+
+
 _DIGIT = "(strpos('0123456789abcdef', substr(h, {0}, 1)) - 1)"
 _CODE = f"({_DIGIT.format(1)} * 4096 + {_DIGIT.format(2)} * 256 + {_DIGIT.format(3)} * 16 + {_DIGIT.format(4)})"
 _SAMPLE = "SELECT conv_id FROM (SELECT DISTINCT conv_id FROM conversations) ORDER BY md5('{0}|' || conv_id), conv_id LIMIT {1}"
@@ -489,7 +608,23 @@ _LONG_EPISODE = "(SELECT *, row_number() OVER w - 1 AS step_index, count(*) OVER
 _ACTIONS = "turn::FLOAT AS a0, length(text)::FLOAT AS a1, (turn / 4)::FLOAT AS a2"
 _FRAME_PX = f"SELECT img, sha256(string_agg(lpad(lower(hex((31 * img + 7 * y + 13 * x + 17 * c) % 256)), 2, '0'), '' ORDER BY y, x, c)) AS sha256 FROM (SELECT DISTINCT conv_id + turn AS img FROM conversations), range({FRAME[0]}) a(y), range({FRAME[1]}) b(x), range(3) d(c) GROUP BY img"
 
+_FULL = "turn AS step_index, 1::FLOAT AS discount, is_last::INT::FLOAT AS reward, turn = 0 AS is_first, is_last, is_last AS is_terminal, text AS language_instruction"
+_ENDS = "(SELECT *, turn = max(turn) OVER (PARTITION BY conv_id) AS is_last, count(*) OVER (PARTITION BY conv_id) AS n_steps FROM conversations)"
+_EXPECTED = [f"[{a}, {b}]" for a, b in zip(specs.TARGET["action"].low, specs.TARGET["action"].high, strict=True)]
+_VIOLATIONS = " UNION ALL ".join(f"SELECT l_orderkey, step_index, {i} AS place, 'action[{i}]' AS field, 'range' AS \"check\", '{_EXPECTED[i]}' AS expected, action[{i + 1}] AS actual FROM {_TARGET} WHERE {b}" for i, b in enumerate(_BAD))
+_ROUND = f"lambda x, r: CASE WHEN substr(md5('7|2|' || r || '|' || greatest(x, (('0x' || substr(md5('7|2|' || r || '|'), 1, 12))::BIGINT % n + n - x) % n)), 1, 1) >= '8' THEN (('0x' || substr(md5('7|2|' || r || '|'), 1, 12))::BIGINT % n + n - x) % n ELSE x END"
+
 ORACLE_SQL: dict[str, str] = {
+    "skip_write_counts": "SELECT count(*) FILTER (WHERE value >= 10) AS written, sum(event_id) FILTER (WHERE value >= 10)::BIGINT AS ids, count(*) FILTER (WHERE value >= 10) AS kept, count(*) FILTER (WHERE NOT coalesce(value >= 10, false)) AS skipped FROM events",
+    "verdict_in_pass": f"SELECT count(*) AS n_written, count(*) AS n_rows, count(*) FILTER (WHERE {' OR '.join(_BAD)}) AS n_bad_rows FROM {_TARGET}",
+    "violation_rows": f"SELECT l_orderkey, step_index, field, \"check\", expected, actual FROM ({_VIOLATIONS})",
+    "first_violation": f"SELECT l_orderkey, step_index, field, \"check\", expected, actual FROM ({_VIOLATIONS}) ORDER BY l_orderkey, step_index, place LIMIT 1",
+    "epoch_order": f"WITH o AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS i, count(*) OVER () AS n FROM orders) SELECT o_orderkey, list_reduce(range(0, {sample.ROUNDS}), {_ROUND}, i) AS place FROM o",
+    "target_full_step": f"WITH {_resized_digests()} SELECT conv_id, sha256, {', '.join(f'((turn + {d}) / 8)::FLOAT AS a{k}' for k, d in enumerate(TAKEN))}, {_FULL}, 512::BIGINT AS n_embedding, {', '.join(f'{_hash_sql("text", j)} AS e{j}' for j in _PICKED)} FROM {_ENDS} JOIN done ON img = (conv_id + turn) % 256",
+    "target_report": _target_report_sql(),
+    "nested_view_roundtrip": f"WITH px AS ({_FRAME_PX}) SELECT conv_id, {_SPLIT} AS split, '/raw/' || conv_id AS file_path, n_steps, sha256, true AS no_wrist, turn::FLOAT AS s0, ((turn + 9) / 8)::FLOAT AS a9, {_FULL}, {_hash_sql('text', 511)} AS e511 FROM {_ENDS} JOIN px ON img = conv_id + turn",
+    "embedding_store": f"WITH t AS (SELECT turn, substr(text, 1, 40) AS start FROM conversations), n AS (SELECT count(DISTINCT start) FILTER (WHERE turn % 2 = 0) AS one, count(DISTINCT start) AS whole FROM t) SELECT start, count(*) AS n, {_hash_sql('start', 3)} AS e3, any_value(one) AS first, any_value(whole - one) AS second FROM t, n GROUP BY start",
+    "synthetic_episodes": f"SELECT c_custkey, i AS step_index, {', '.join(f'{_uniform_sql("state", j)} AS s{j}' for j in range(2))}, {', '.join(f'{_uniform_sql("action", j)} AS a{j}' for j in range(3))}, {' || '.join(f"lpad(lower(hex(floor({_uniform_sql('image', j)}::DOUBLE * 255)::BIGINT)), 2, '0')" for j in range(6))} AS image FROM (SELECT c_custkey, unnest(range(0, c_custkey % 4)) AS i FROM customer)",
     "long_episode_flags": f"SELECT u::BIGINT AS user_id, event_id, step_index, step_index = 0 AS is_first, step_index = n - 1 AS is_last, step_index = n - 1 AS is_terminal, (step_index = n - 1)::INT::FLOAT AS reward, 1::FLOAT AS discount FROM {_LONG_EPISODE}",
     "long_last_step": f"SELECT u::BIGINT AS user_id, event_id, step_index, event_type FROM {_LONG_EPISODE} WHERE step_index = n - 1",
     "recordings_scan": f"SELECT conv_id, turn AS step_index, {_ACTIONS}, text AS language_instruction, count(*) OVER (PARTITION BY conv_id) AS n_steps, turn = 0 AS is_first, turn = max(turn) OVER (PARTITION BY conv_id) AS is_last, (turn = max(turn) OVER (PARTITION BY conv_id))::INT::FLOAT AS reward FROM conversations",

@@ -42,3 +42,26 @@ def episodes(spark: SparkSession, per_split: dict[str, int] | None = None, steps
 
         out = out.withColumns({"image": pixels(F.xxhash64("row", F.lit(seed), F.lit("image"))), "wrist_image": pixels(F.xxhash64("row", F.lit(seed), F.lit("wrist")))})
     return out.drop("row")
+
+
+def uniform(seed: int, label: str, *parts: Column) -> Column:
+    """In [0, 1), a float exactly; follows from md5 of seed, label and parts, so other engines
+    can make the same."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(label), *[p.cast("string") for p in parts]))
+    return (F.conv(F.substring(digest, 1, 6), 16, 10).cast("long") / F.lit(float(1 << 24))).cast("float")
+
+
+def for_rows(rows: DataFrame, key: str, steps: Column, vectors: dict[str, int], seed: int = 0, image: tuple[int, int, int] | None = None) -> DataFrame:
+    """An episode of ``steps`` steps for each row of a table: its key, step_index, uniform
+    vectors of the given sizes, and with ``image`` pixels of that shape, whose bytes are values
+    times 255, cut off. The same for a seed on any cluster. A null number of steps is none."""
+    many = F.coalesce(steps, F.lit(0)).cast("int")
+    index = F.explode(F.when(many > 0, F.sequence(F.lit(0), many - 1)).otherwise(F.array().cast("array<int>")))
+    out = rows.select(F.col(key), index.alias("step_index"))
+    vector = lambda label, n: F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda j: uniform(seed, label, F.col(key), F.col("step_index"), j))
+    made = {name: vector(name, n) for name, n in vectors.items()}
+    if image:
+        h, w, c = image
+        byte = lambda x: F.lpad(F.hex(F.floor(x.cast("double") * 255).cast("long")), 2, "0")
+        made["image"] = F.unhex(F.array_join(F.transform(vector("image", h * w * c), byte), ""))
+    return out.select(key, F.col("step_index").cast("long").alias("step_index"), *[v.alias(k) for k, v in made.items()])
