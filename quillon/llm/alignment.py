@@ -47,7 +47,7 @@ COLUMNS = "n_a long, n_b long, n_groups long, n_links long, groups string, pairs
 def _byte_level(path: str) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all entries of a byte-level vocabulary, and where each begins."""
     back = {ord(c): b for b, c in byte_letters().items()}
-    own = encoder(path).tokenizer
+    own = encoder(path, plain=True).tokenizer
     each = [bytes(back[ord(c)] for c in own.id_to_token(i) or "" if ord(c) in back) for i in range(own.get_vocab_size())]
     return np.frombuffer(b"".join(each), np.uint8), np.cumsum([0, *map(len, each)])
 
@@ -68,7 +68,7 @@ def ids_of(path: str) -> int:
 
 def _tokens(t: Text, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Ids, each text's first, each token's end, and which texts its tokens spell exactly."""
-    ids, at = (piece_encoder(path) if path.endswith(".model") else encoder(path)).encode(t)
+    ids, at = (piece_encoder(path) if path.endswith(".model") else encoder(path, plain=True)).encode(t)
     spelt, begin = _table(path)
     size = (begin[1:] - begin[:-1])[ids]
     ends = np.cumsum(size)

@@ -91,19 +91,20 @@ class Automaton:
 
 
 def _blocks(benchmark: DataFrame, key: str, text: str, window: int, most: int) -> Iterator[list]:
-    """Items of about ``most`` words together. A longer item is cut, and each part has the
-    words that the windows beginning in it need."""
+    """Items of ``most`` words together, and no more. A longer item is cut into parts of
+    ``most``, and each has besides the words that the windows beginning in it need."""
     block, n = [], 0
     for r in benchmark.select(F.col(key).cast("string").alias("k"), F.col(text).alias("t")).toLocalIterator():
         words = _WORD.findall((r["t"] or "").encode().lower())
         for i in range(0, len(words) if r["k"] is not None else 0, most):
             part = words[i : i + most + window - 1]
-            if not i or len(part) >= window:
-                block.append((r["k"], part))
-                n += len(part)
-            if n >= most:
+            if i and len(part) < window:
+                continue
+            if block and n + len(part) > most:
                 yield block
                 block, n = [], 0
+            block.append((r["k"], part))
+            n += len(part)
     if block:
         yield block
 

@@ -9,6 +9,10 @@ decide. In the second pass an open block takes the label of its nearest decided
 (of both if they agree, else of the nearer). Where a page marks its article, only blocks
 within it can be text, and there an open block is, unless it is short or has many links and
 stands between blocks of links.
+A class that says what a wrapper has or lacks (``has-sidebar``, ``no-sidebar``,
+``content-with-sidebar``) says nothing of its content. If no block of a marked article remains, the
+page is read again, and then an article also begins within what is left out for its class; it
+is taken if it is longer than the text found without it.
 Where the first pass decides no block as text (another language, or short blocks only), the
 open blocks of few links are text: the long ones, or all if none is long.
 
@@ -67,6 +71,8 @@ _LETTERS = re.compile(r"[\W\d_]+")
 _LATIN = re.compile("[A-Za-z\u00aa\u00ba\u00c0-\u024f\u1e00-\u1eff]+")
 _END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in _RAW}
 _OF_TEXT = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "header", "blockquote", "pre", "figure", "figcaption", "li", "dt", "dd", "td", "th", "caption"}
+_ABOUT = re.compile(r"^(?:no|has|with|without|is|hide|show)[-_]|[-_](?:no|has|with|without)[-_]", re.I)
+_MARKED = re.compile(r"<(?:article|main)(?=[\s/>])", re.I)
 _SHUT = {"form", "dialog", "aside"}  # no article begins within
 
 
@@ -91,6 +97,7 @@ def _left_out(tag: str, attributes: str, main: bool) -> bool:
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "role" and value.strip().lower() in _ROLES_OUT:
             return True
+        value = " ".join(x for x in value.split() if not _ABOUT.search(x))
         words = value.split() if main and tag in _OF_TEXT else _NAME.findall(value)
         if name in ("class", "id") and (tag not in _MAIN or "comment" in value.lower()) and any(w.lower() in _WORDS_OUT for w in words):
             return not (tag == "header" and main)
@@ -133,8 +140,9 @@ def tags(page: str) -> Iterator[tuple[int, int, str, str, str]]:
         at = (yield start, end, slash, name, attributes) or end
 
 
-def blocks(page: str) -> list[Block]:
-    """The blocks with text outside of what is left out."""
+def blocks(page: str, again: bool = False) -> list[Block]:
+    """The blocks with text outside of what is left out. ``again``: an article begins also
+    within an element that is left out for its class or id."""
     found: list[Block] = []
     texts: list[str] = []
     linked: list[str] = []
@@ -203,7 +211,7 @@ def blocks(page: str) -> list[Block]:
             leaves = out or header or _left_out(tag, attributes, main)
             if leaves and not out:
                 flush()
-            closed = tag in _SHUT or tag not in _LEFT_OUT and tag != "header" and leaves
+            closed = tag in _SHUT or tag not in _LEFT_OUT and tag != "header" and leaves and not again
             stack.append((tag, leaves, main or (tag in _MAIN and not leaves), closed))
             opened[tag] += 1
             shut += closed
@@ -267,7 +275,15 @@ def classify(found: list[Block]) -> list[Block]:
 
 
 def extract(page: str | None) -> str:
-    return "\n".join(b.text for b in classify(blocks(page or "")))
+    page = page or ""
+    found = blocks(page)
+    kept = classify(found)
+    if not any(b.main for b in found) and _MARKED.search(page):
+        more = blocks(page, again=True)
+        article = classify(more) if any(b.main for b in more) else []
+        if sum(len(b.text) for b in article) > sum(len(b.text) for b in kept):
+            kept = article
+    return "\n".join(b.text for b in kept)
 
 
 def main_text(pages: DataFrame, html: str = "html", name: str = "text") -> DataFrame:

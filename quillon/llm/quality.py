@@ -151,10 +151,12 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
 
 
-def fit(profiled: DataFrame, rounds: int = 60) -> Model:
+def fit(profiled: DataFrame, rounds: int = 60, shares: tuple[float, float] = (0.05, 0.95)) -> Model:
     """Estimate the model from the votes of all documents. Good is the class in which the
     rules' good votes prevail: the start takes each rule as right more often than wrong,
-    and one clear bad vote as a sign of a bad document."""
+    and one clear bad vote as a sign of a bad document. The share of good documents stays
+    within ``shares``: a corpus that is nearly all of one class must not make its votes
+    count for nothing. (0, 1) leaves it free."""
     rows = profiled.groupBy("votes").agg(F.count("*").alias("n")).collect()  # 3 ** len(RULES) rows at most
     coded = np.array(sorted((r["votes"], r["n"]) for r in rows), np.int64).reshape(-1, 2)
     coded, n = coded[:, 0], coded[:, 1].astype(float)
@@ -169,7 +171,7 @@ def fit(profiled: DataFrame, rounds: int = 60) -> Model:
         # a rule speaks for its side: a bad vote is never a sign of a good document
         table[:, 1, 0] = np.minimum(table[:, 1, 0], table[:, 0, 0])
         table[:, 1] /= table[:, 1].sum(1, keepdims=True)
-        share = float(np.clip((n @ good + 1) / (n.sum() + 2), 0.05, 0.95)) if len(n) else 0.8
+        share = float(np.clip((n @ good + 1) / (n.sum() + 2), *shares)) if len(n) else 0.8
         good = Model(share, table).posterior(coded)
     return Model(share, table)
 

@@ -55,9 +55,14 @@ def byte_letters() -> dict[int, str]:
 
 
 class Encoder:
-    def __init__(self, path: str):
+    """``plain``: strings of special tokens in a text are text like any other. By the library's
+    default they are the special tokens, and a text that holds one goes to the library whole."""
+
+    def __init__(self, path: str, plain: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are text
+        self.tokenizer.encode_special_tokens = plain
+        added = [] if plain else [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile(b"|".join(re.escape(x.encode()) for x in added), re.I) if added else None
         pre, norm = (json.loads(x.__getstate__()) if x else {} for x in (self.tokenizer.pre_tokenizer, self.tokenizer.normalizer))
         kinds = [x["type"] for x in norm.get("normalizers", [])]
         steps = pre.get("pretokenizers", [])
@@ -105,8 +110,21 @@ class Encoder:
         cut[t.offs[:-1][np.diff(t.offs) > 0]] = True
         return np.flatnonzero(cut)
 
+    def _special(self, t: Text) -> np.ndarray:
+        """The texts that hold a special token's string, in whatever case."""
+        if self.special is None or not (found := [m.start() for m in self.special.finditer(t.data)]):
+            return np.zeros(0, np.int64)
+        return np.unique(np.searchsorted(t.offs, found, "right") - 1)
+
     def encode(self, t: Text) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's ids begin (one more entry at the end)."""
+        whole = self._special(t) if self.fast else np.zeros(0, np.int64)
+        if len(whole):
+            gone = np.isin(np.arange(t.n), whole)
+            size = np.diff(t.offs)
+            rest, at = self.encode(Text(t.data[np.repeat(~gone, size)], np.append(0, np.cumsum(np.where(gone, 0, size)))))
+            ids = [np.frombuffer(self._whole(t.bytes(i).decode()), "<u4") if gone[i] else rest[at[i] : at[i + 1]] for i in range(t.n)]
+            return np.concatenate(ids), np.cumsum([0, *map(len, ids)])
         if not self.fast:
             ids = [np.frombuffer(self._whole(t.bytes(i).decode()), "<u4") for i in range(t.n)]
             return np.concatenate([*ids, np.zeros(0, "<u4")]), np.cumsum([0, *map(len, ids)])
@@ -128,14 +146,14 @@ class Encoder:
         return out, before[np.searchsorted(cuts, t.offs)]
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, plain: bool = False) -> Encoder:
     """This process's encoder for the file, with what it has cached."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    if (path, plain) not in _encoders:
+        _encoders[path, plain] = Encoder(path, plain)
+    return _encoders[path, plain]
 
 
 def encoded(column: pa.Array, path: str, end: int) -> Iterator[tuple[int, np.ndarray]]:

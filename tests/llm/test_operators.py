@@ -454,6 +454,25 @@ def test_html_time_is_linear(bad):
         assert time.process_time() - begin < 5
 
 
+def test_html_wrappers():
+    p = "<p>The quick brown fox jumps over the lazy dog and this is a long enough paragraph of text.</p>"
+    text = p[3:-4]
+    for page in ('<div class="layout has-sidebar"><article>%s</article></div>', '<div id="page" class="site no-sidebar">%s</div>', '<div class="content-with-sidebar"><main>%s</main></div>', '<div class="fixed-header"><main>%s</main></div>', '<div class="sticky-header"><nav>The menu of the site</nav><main><article>%s</article></main></div>'):
+        assert html_extract.extract(page % p) == text
+    teaser = p.replace("quick", "slow")
+    assert html_extract.extract(f'<article>{p}</article><div class="related"><article>{teaser}</article></div>') == text
+    assert html_extract.extract(f'<div>{p}{p}</div><div class="related"><article>{teaser}</article></div>') == f"{text}\n{text}"
+    for page in ('<div class="modal"><form><article>%s</article></form></div>', '<div class="comments"><article class="comment">%s</article></div>', '<div class="sidebar">%s</div>'):
+        assert html_extract.extract(page % p) == ""
+
+
+def test_blocks_of_the_benchmark(spark):
+    items = spark.createDataFrame([(str(i), " ".join(f"w{i}x{j}" for j in range(n))) for i, n in enumerate((99, 99, 1, 250, 5, 100))], "item_id string, text string")
+    found = list(decontaminate._blocks(items, "item_id", "text", 10, 100))
+    assert all(sum(len(w) for _, w in b) <= 109 for b in found)
+    assert sum(len(w) for b in found for _, w in b) == 99 + 99 + 1 + 250 + 9 * 2 + 5 + 100
+
+
 def test_html_query(spark, sf_dir):
     import html
 

@@ -12,14 +12,14 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from quillon.llm import entry, packing, token_files, tokens
+from quillon.llm.scan import slices
 
 WORDS, BYTES = (public_tokenizers.path(x) for x in ("word_bpe_49k.json", "byte_bpe_50k.json"))
-ODD = ["", " ", "\n", "  a  b\n\n c\t d \n", "it's We'LL don't", "x \n b  c", "é ́a ΑΣ ΟΔΟΣ. İx", "日本語 テスト　です 🙂 x", "<|endoftext|> a<|startoftext|>b", "a\x1c\x1fb \x85 c \nd", "ªº µ ²½ 12345 1 2", "é, ×, ÷. “a”, b…, c", "ﬁ ǅ ß ẞ", "trail \n\n "]
+ODD = ["", " ", "\n", "  a  b\n\n c\t d \n", "it's We'LL don't", "x \n b  c", "é ́a ΑΣ ΟΔΟΣ. İx", "日本語 テスト　です 🙂 x", "<|endoftext|> a<|startoftext|>b", "hello<|endoftext|>world", "x <|EndOfText|>\n<|startoftext|", "<|endoftext|>", "a\x1c\x1fb \x85 c \nd", "ªº µ ²½ 12345 1 2", "é, ×, ÷. “a”, b…, c", "ﬁ ǅ ß ẞ", "trail \n\n "]
 
 
 def library(path, texts, end):
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
+    t = Tokenizer.from_file(path)  # as the contract names it: with its defaults
     return [[*e.ids, end] for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
@@ -32,6 +32,17 @@ def test_odd_texts(path):
     assert [x.tolist() for _, x in tokens.encoded(pa.array([*ODD, None]), path, 1)] == library(path, [*ODD, None], 1)
 
 
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_strings_of_special_tokens(path):
+    texts = ["hello<|endoftext|>world", "plain", "", None]
+    got = [x.tolist() for _, x in tokens.encoded(pa.array(texts), path, 1)]
+    assert got == library(path, texts, 1)
+    special = Tokenizer.from_file(path).token_to_id("<|endoftext|>")
+    assert special in got[0]
+    plain, _ = tokens.Encoder(path, plain=True).encode(next(iter(slices(pa.array(texts))))[2])
+    assert special not in plain
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(alphabet=st.sampled_from(list("ab Zé×ñ.,'!\n\t ́ß19_日 sS")), max_size=30), max_size=5))
 def test_any_text(texts):
