@@ -17,9 +17,14 @@ def sample_episodes(episodes: DataFrame, keys: list[str], n: int, seed: int = 0)
     return episodes.select(*keys).distinct().withColumn("rank_hash", rank).orderBy("rank_hash", *keys).limit(n).drop("rank_hash")
 
 
+BROADCAST_KEYS = 1 << 16
+
+
 def sampled_steps(steps: DataFrame, keys: list[str], n: int, seed: int = 0) -> DataFrame:
-    """The steps of such a sample: ``n`` keys are broadcast."""
-    return steps.join(F.broadcast(sample_episodes(steps, keys, n, seed)), keys, "left_semi")
+    """The steps of such a sample: up to BROADCAST_KEYS keys are broadcast; beyond, Spark
+    plans the join."""
+    few = sample_episodes(steps, keys, n, seed)
+    return steps.join(F.broadcast(few) if n <= BROADCAST_KEYS else few, keys, "left_semi")
 
 
 # --- orders without a sort

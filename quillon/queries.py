@@ -19,13 +19,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .functions import embed, images, vectors
 from .operators import dense, episodes, positions, profile, sample
 from .plans import nesting
 from .plans import spec as specs
 from .plans.schema import STEP_FEATURES, EpisodeSchema, Feature
-from .plans.transform import ACTION_SLICES, COPIED, Target
+from .plans.transform import ACTION_SLICES, COPIED, Target, map_steps
 from .sources import dataset, npy, synthetic, tfrecord
 from .sources.store import new_folder
 
@@ -501,6 +502,33 @@ def nested_view_roundtrip(spark, sf_dir):
     return back.select(F.col("episode_id").cast("long").alias("conv_id"), "split", "step_index", "file_path", "n_steps", F.sha2(F.lower(F.hex("image")), 256).alias("sha256"), F.col("wrist_image").isNull().alias("no_wrist"), F.get("state", 0).alias("s0"), F.get("action", 9).alias("a9"), *scalars, F.get("language_embedding", 511).alias("e511"))
 
 
+def mapped_steps(spark, sf_dir):
+    """A function of one step, which drops some: words of long turns, in order of the alphabet."""
+
+    def one(step: dict) -> dict | None:
+        words = sorted(set(step["text"].split(" ")))
+        return {"conv_id": step["conv_id"], "turn": step["turn"], "n_words": len(words), "first": words[0]} if len(step["text"]) >= 100 else None
+
+    t = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text").where("text IS NOT NULL")
+    schema = StructType.fromDDL("conv_id long, turn long, n_words long, first string")
+    return map_steps(t, one, schema)
+
+
+def changed_features(spark, sf_dir):
+    """The nested view of a schema with one feature more and two fewer, flat again."""
+    schema = NESTED.without_feature("state").without_feature("wrist_image").with_feature(Feature("role", "text", "Who speaks."))
+    back = nesting.flat_view(nesting.nested_view(_full_steps(spark, sf_dir, FRAME), schema), schema)
+    found = F.array_join(F.array(*[F.lit(c) for c in back.columns]), ",")
+    return back.select(F.col("episode_id").cast("long").alias("conv_id"), "step_index", "role", "language_instruction", F.get("action", 0).alias("a0"), found.alias("features"))
+
+
+def dtype_violations(spark, sf_dir):
+    """Types of a stored table against a spec, before a row is read, and the rows that it is about."""
+    docs = table(spark, sf_dir, "documents")
+    spec = {"text": specs.Leaf("str"), "n_chars": specs.Leaf("float32", (), 0, 1), "lang": specs.Leaf("bool"), "audio": specs.Leaf("float32", (8,))}
+    return specs.schema_report(docs, spec).withColumn("n_rows", F.lit(docs.count()))
+
+
 def embedding_store(spark, sf_dir):
     """Two builds over one store: the second embeds what the first has not."""
     store = embed.EmbeddingStore(spark, new_folder(spark, "vectors"), embed.HashEmbedder(8), "hash")
@@ -524,6 +552,7 @@ ALL = (
     check_range_per_dim, violations_report, pass_verdict, ragged_vectors, vector_mean, embedding_mean, vector_histogram, vector_nonfinite, sample_episodes, sampled_steps, hash_embed_distinct, image_strip, lanczos_resize, png_roundtrip,
     image_strip_steps, lanczos_resize_steps, png_roundtrip_steps, synthetic_source, long_episode_flags, long_last_step, recordings_scan, dataset_write_read, dataset_overwrite, tfrecord_roundtrip,
     skip_write_counts, verdict_in_pass, violation_rows, first_violation, epoch_order, target_full_step, target_report, nested_view_roundtrip, embedding_store, synthetic_episodes,
+    mapped_steps, changed_features, dtype_violations,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in ALL}
 
@@ -615,6 +644,14 @@ _VIOLATIONS = " UNION ALL ".join(f"SELECT l_orderkey, step_index, {i} AS place,
 _ROUND = f"lambda x, r: CASE WHEN substr(md5('7|2|' || r || '|' || greatest(x, (('0x' || substr(md5('7|2|' || r || '|'), 1, 12))::BIGINT % n + n - x) % n)), 1, 1) >= '8' THEN (('0x' || substr(md5('7|2|' || r || '|'), 1, 12))::BIGINT % n + n - x) % n ELSE x END"
 
 ORACLE_SQL: dict[str, str] = {
+    "mapped_steps": "SELECT conv_id, turn, len(w)::BIGINT AS n_words, list_min(w) AS first FROM (SELECT conv_id, turn, list_distinct(string_split(text, ' ')) AS w FROM conversations WHERE length(text) >= 100)",
+    "changed_features": "SELECT conv_id, turn AS step_index, role, text AS language_instruction, (turn / 8)::FLOAT AS a0, 'split,episode_id,step_index,image,action,discount,reward,is_first,is_last,is_terminal,language_instruction,language_embedding,role' AS features FROM conversations",
+    "dtype_violations": """
+WITH t AS (SELECT any_value(typeof(n_chars)) AS n_chars, any_value(typeof(lang)) AS lang, count(*) AS n_rows FROM documents),
+named AS (SELECT CASE n_chars WHEN 'BIGINT' THEN 'bigint' ELSE lower(n_chars) END AS n_chars, CASE lang WHEN 'VARCHAR' THEN 'string' ELSE lower(lang) END AS lang, n_rows FROM t)
+SELECT 'n_chars' AS field, 'dtype' AS "check", 'float32' AS expected, n_chars AS actual, n_rows FROM named WHERE n_chars <> 'float'
+UNION ALL SELECT 'lang', 'dtype', 'bool', lang, n_rows FROM named WHERE lang <> 'boolean'
+UNION ALL SELECT 'audio', 'missing', 'float32', 'absent', n_rows FROM named""",
     "skip_write_counts": "SELECT count(*) FILTER (WHERE value >= 10) AS written, sum(event_id) FILTER (WHERE value >= 10)::BIGINT AS ids, count(*) FILTER (WHERE value >= 10) AS kept, count(*) FILTER (WHERE NOT coalesce(value >= 10, false)) AS skipped FROM events",
     "verdict_in_pass": f"SELECT count(*) AS n_written, count(*) AS n_rows, count(*) FILTER (WHERE {' OR '.join(_BAD)}) AS n_bad_rows FROM {_TARGET}",
     "violation_rows": f"SELECT l_orderkey, step_index, field, \"check\", expected, actual FROM ({_VIOLATIONS})",
