@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .functions import embed, images, vectors
+from .functions import embed, images, lexical, vectors
 from .operators import dense, episodes, positions, profile, sample
 from .plans import nesting
 from .plans import spec as specs
@@ -539,6 +539,14 @@ def embedding_store(spark, sf_dir):
     return out.groupBy("start").agg(F.count("*").alias("n"), F.min(F.get("vector", 3)).alias("e3")).withColumns({"first": F.lit(first).cast("long"), "second": F.lit(second).cast("long")})
 
 
+def lexical_embedding(spark, sf_dir):
+    """An encoder trained on all turns, and each turn's vector."""
+    t = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    model = lexical.train(t, "text", 64)
+    out = t.withColumn("v", model.column(F.col("text")))
+    return out.select("conv_id", "turn", F.size("v").cast("long").alias("size"), *[F.round(F.get("v", i).cast("double"), 4).alias(f"v{i}") for i in range(4)], F.round(lexical.similarity(F.col("v"), F.col("v")), 3).alias("norm"))
+
+
 def synthetic_episodes(spark, sf_dir):
     """An episode of made-up measures for each customer."""
     rows = table(spark, sf_dir, "customer").select("c_custkey")
@@ -552,7 +560,7 @@ ALL = (
     check_range_per_dim, violations_report, pass_verdict, ragged_vectors, vector_mean, embedding_mean, vector_histogram, vector_nonfinite, sample_episodes, sampled_steps, hash_embed_distinct, image_strip, lanczos_resize, png_roundtrip,
     image_strip_steps, lanczos_resize_steps, png_roundtrip_steps, synthetic_source, long_episode_flags, long_last_step, recordings_scan, dataset_write_read, dataset_overwrite, tfrecord_roundtrip,
     skip_write_counts, verdict_in_pass, violation_rows, first_violation, epoch_order, target_full_step, target_report, nested_view_roundtrip, embedding_store, synthetic_episodes,
-    mapped_steps, changed_features, dtype_violations,
+    mapped_steps, changed_features, dtype_violations, lexical_embedding,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in ALL}
 
@@ -644,6 +652,16 @@ _VIOLATIONS = " UNION ALL ".join(f"SELECT l_orderkey, step_index, {i} AS place,
 _ROUND = f"lambda x, r: CASE WHEN substr(md5('7|2|' || r || '|' || greatest(x, (('0x' || substr(md5('7|2|' || r || '|'), 1, 12))::BIGINT % n + n - x) % n)), 1, 1) >= '8' THEN (('0x' || substr(md5('7|2|' || r || '|'), 1, 12))::BIGINT % n + n - x) % n ELSE x END"
 
 ORACLE_SQL: dict[str, str] = {
+    "lexical_embedding": r"""
+WITH w AS (SELECT conv_id, turn, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM conversations),
+h AS (SELECT conv_id, turn, md5(word) AS h, count(*) AS n FROM w GROUP BY ALL),
+c AS (SELECT conv_id, turn, ('0x' || substr(h, 1, 8))::BIGINT % 64 AS d, CASE WHEN substr(h, 9, 1) >= '8' THEN n ELSE -n END AS n, substr(h, 10, 4) AS b FROM h),
+df AS (SELECT b, ln((1 + (SELECT count(*) FROM conversations WHERE text IS NOT NULL)) / (1 + count(DISTINCT (conv_id, turn)))::DOUBLE) + 1 AS idf FROM c GROUP BY b),
+dims AS (SELECT conv_id, turn, d, sum(n * idf) AS x FROM c JOIN df USING (b) GROUP BY ALL),
+len AS (SELECT conv_id, turn, sqrt(sum(x * x)) AS l FROM dims GROUP BY ALL)
+SELECT t.conv_id, t.turn, 64::BIGINT AS size, """
+    + ", ".join(f"round(coalesce((SELECT x / l FROM dims d WHERE d.conv_id = t.conv_id AND d.turn = t.turn AND d.d = {i}), 0)::FLOAT::DOUBLE, 4) AS v{i}" for i in range(4))
+    + ", CASE WHEN l > 0 THEN 1e0 ELSE 0e0 END AS norm FROM conversations t LEFT JOIN len USING (conv_id, turn)",
     "mapped_steps": "SELECT conv_id, turn, len(w)::BIGINT AS n_words, list_min(w) AS first FROM (SELECT conv_id, turn, list_distinct(string_split(text, ' ')) AS w FROM conversations WHERE length(text) >= 100)",
     "changed_features": "SELECT conv_id, turn AS step_index, role, text AS language_instruction, (turn / 8)::FLOAT AS a0, 'split,episode_id,step_index,image,action,discount,reward,is_first,is_last,is_terminal,language_instruction,language_embedding,role' AS features FROM conversations",
     "dtype_violations": """

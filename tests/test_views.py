@@ -1,9 +1,10 @@
 """Views compiled from schemas, orders of epochs, stored vectors, counts in a pass."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quillon.functions import embed
+from quillon.functions import embed, lexical
 from quillon.operators import episodes, sample
 from quillon.plans import nesting, spec
 from quillon.plans.schema import EpisodeSchema, Feature
@@ -167,3 +168,32 @@ def test_episodes_for_rows(spark):
     assert a == b and len(a) == 3
     got = synthetic.for_rows(rows, "k", F.col("n"), {"state": 4}, 1, (2, 2, 3)).collect()
     assert all(len(r.image) == 12 and len(r.state) == 4 and all(0 <= x < 1 for x in r.state) for r in got)
+
+
+# --- a trained encoder
+
+
+def test_lexical_vectors(spark):
+    corpus = ["the red robot opens the drawer", "the robot closes a drawer", "the cup is on the table", "put the cup on the shelf", None, ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(corpus)], "id int, t string").repartition(3)
+    model = lexical.train(df, "t", 256)
+    assert model.weights[lexical.place("the")[2]] < model.weights[lexical.place("drawer")[2]] < model.weights[lexical.place("unseen")[2]]
+    rows = {r.id: r.v for r in df.withColumn("v", model.column(F.col("t"))).collect()}
+    assert rows[4] is None and set(rows[5]) == {0.0}
+    v = {i: np.array(rows[i]) for i in range(4)}
+    assert all(abs((x * x).sum() - 1) < 1e-5 for x in v.values())
+    assert v[0] @ v[1] > max(v[0] @ v[2], v[0] @ v[3]) and v[2] @ v[3] > v[1] @ v[3]
+    assert np.array_equal(model.vectors(["The RED robot"]), model.vectors(["the red robot"]))
+    pair = spark.createDataFrame([(v[0].tolist(), v[1].tolist())], "a array<float>, b array<float>")
+    assert abs(pair.select(lexical.similarity(F.col("a"), F.col("b")).alias("s")).first().s - v[0] @ v[1]) < 1e-6
+    none = lexical.train(df.limit(0), "t", 8)
+    assert set(none.weights) == {1.0} and none.vectors([]).shape == (0, 8)
+    with pytest.raises(ValueError, match="weights"):
+        lexical.LexicalEmbedder(np.ones(3))
+
+
+def test_lexical_embedder_in_a_store(spark, tmp_path):
+    df = spark.createDataFrame([("open the door",), ("close it",)], "t string")
+    store = embed.EmbeddingStore(spark, f"file://{tmp_path}/v", lexical.train(df, "t", 16), "lexical")
+    out = store.embed(df, "t", "v").collect()
+    assert store.vectors().count() == 2 and all(len(r.v) == 16 for r in out)
