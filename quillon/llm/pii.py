@@ -2,7 +2,8 @@
 
 Entities are found by pattern: e-mail addresses, telephone numbers (international ones after
 a +, national ones with separators or brackets), IPv4 and IPv6 addresses, payment card
-numbers, secret tokens, and names after a title. Not found are national numbers without any
+numbers, account numbers (IBAN), social security numbers in groups of 3, 2 and 4 digits, secret
+tokens, and names after a title. Not found are national numbers without any
 separator, which look like any other number, and short IPv6 addresses without a digit
 (``face::add``), which look like code. Each is replaced by a surrogate of
 its own type that depends on a key and on the entity alone, so an entity has one surrogate
@@ -15,19 +16,24 @@ wherever it occurs (coreference) and without the key nobody can go back.
   written out in full.
 * Tokens and the name part of e-mail addresses keep length, case, script and the places of
   digits and marks; the domain is a reserved example domain with a keyed label.
-* Names keep their title; the replacement has the title's gender and the name's script,
-  with given and family name or family name only, as before.
+* Names keep their title; the replacement has the title's gender, the name's script (Latin,
+  Cyrillic, Greek) and its capitals, with given and family name or family name only, as before.
+  Given and family name have each their own surrogate, so that a person is the same with and
+  without the given name. A title that tells no gender (Dr) gives a given name of no gender,
+  and names without a title are not found.
+* Account numbers keep country and length and have valid check digits.
 
 Surrogates that are not permutations could collide, so all distinct entities of the corpus
 are checked: an entity whose surrogate another entity has too (or that is an entity itself)
 gets another attempt, in all its spellings, until none is left. Each attempt widens the
 space of names (a syllable more) and of tokens with a prefix (four letters or digits more),
-so that this ends however many there are. Up to ``max_late`` entities with a later attempt
+so that this ends however many there are. (A second attempt adds to the given name, if there is one,
+so that the family's name stays.) Up to ``max_late`` entities with a later attempt
 are known to every task; more are joined by the texts that hold them, with the same result.
 
 DataFrame functions only. Defined results: null texts stay null with no entities; texts
 without an entity stay as they are; equal rows get equal results; other columns are kept,
-but for ``entity_count``, which is new; an empty table stays empty.
+but for ``entity_count``, which is new; a text of any length is searched whole; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -37,7 +43,7 @@ import itertools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .staging import stage
+from .staging import free_name, stage
 
 #: Titles by gender, and names by gender and script.
 TITLES = {"male": ("Mr", "Herr", "Monsieur", "Señor", "Signor", "Господин"), "female": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Signora", "Госпожа"), "any": ("Dr", "Prof")}
@@ -48,10 +54,14 @@ GIVEN = {
     ("male", "cyrillic"): "Андрей Борис Виктор Глеб Денис Егор Захар Игорь Кирилл Лев Максим Никита Олег Павел Роман Семён".split(),
     ("female", "cyrillic"): "Анна Вера Галина Дарья Елена Жанна Зоя Инна Кира Лидия Мария Нина Ольга Полина Раиса София".split(),
     ("any", "cyrillic"): "Саша Женя Валя Слава Шура Паша Тоня Ника".split(),
+    ("male", "greek"): "Αλέξης Γιώργος Δημήτρης Κώστας Λουκάς Μάνος Νίκος Πέτρος Σπύρος Τάσος Φώτης Χρήστος".split(),
+    ("female", "greek"): "Άννα Βάσω Γεωργία Δήμητρα Ελένη Ζωή Ιωάννα Κατερίνα Μαρία Νίκη Όλγα Σοφία".split(),
+    ("any", "greek"): "Άγγελ Γωγώ Κρις Μαρ Νικ Σταύ Τόνι Φρί".split(),
 }
-SYLLABLES = {"latin": "bar ber bol dan del dor fal fen gar hal hol kar kel lan lor mar mel nor pal rol sal sen tal tor val ven vol wal wen zan zel zor".split(), "cyrillic": "бар вол гор дан жар зел кар лан мар нор пал рос сав тар фед хол".split()}
+SYLLABLES = {"latin": "bar ber bol dan del dor fal fen gar hal hol kar kel lan lor mar mel nor pal rol sal sen tal tor val ven vol wal wen zan zel zor".split(), "cyrillic": "бар вол гор дан жар зел кар лан мар нор пал рос сав тар фед хол".split(), "greek": "βαλ γαρ δελ ζαν θεο καλ λαμ μαν νικ παπ ρεν σαρ ταν φιλ χαρ ψαλ".split()}
 
-_NAME = r"\p{Lu}[\p{L}'\-]+"
+_TITLE = "|".join(t for g in TITLES.values() for t in g)
+_NAME = rf"(?!(?:{_TITLE})(?!\p{{L}}))\p{{Lu}}[\p{{L}}'’\-]+"  # a title is no name
 _PART = r"[\p{L}\p{N}._%+\-]"
 #: Every entity starts where no letter or digit stands before it.
 PATTERNS = {
@@ -60,7 +70,8 @@ PATTERNS = {
     "phone": r"\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}(?!\d)",
     "ip": r"(?<!\.)(?:(?:25[0-5]|2[0-4]\d|[01]?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|[01]?\d?\d)(?!\d|\.\d)",
     "card": r"\d(?:[ \-]?\d){12,18}(?![\p{L}\p{N}])",
-    "name": rf"(?:{'|'.join(t for g in TITLES.values() for t in g)})\.? {_NAME}(?: {_NAME})?",
+    "name": rf"(?:{_TITLE})\.? {_NAME}(?: {_NAME})?",
+    "iban": r"[A-Z]{2}\d{2}(?:(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?|[A-Z0-9]{11,30})(?![\p{L}\p{N}])",
 }
 _HEX = "[0-9A-Fa-f]{1,4}"
 #: After the others, so that what they find stays theirs. National numbers: three, three and
@@ -71,6 +82,7 @@ PATTERNS |= {
     r"|0\d(?:(?: \d\d){4}|(?:\.\d\d){4}|(?:-\d\d){4})"
     r"|(?=\(?(?:\d[ )/\-]{0,2}){7,14}\d(?!\d))(?:\(0\d{1,5}\)[ /\-]?\d{2,8}|0\d{2,5}[ /\-]\d{2,8}|0\d[ /\-]\d{3,8})(?:[ \-]\d{2,5}){0,4}"
     r")(?![\p{L}\p{N}])",
+    "ssn": r"(?<![\d.\-]\-)\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}]|-\d)",
     "ip6": rf"(?<![:.])(?:(?:{_HEX}:){{7}}{_HEX}|(?=[A-Fa-f:]{{0,38}}[0-9])(?:(?:{_HEX}:){{1,7}}:|"
     + "|".join(rf"(?:{_HEX}:){{1,{7 - n}}}(?::{_HEX}){{1,{n}}}" for n in range(1, 7))
     + rf"|:(?::{_HEX}){{1,7}}))(?![\p{{L}}\p{{N}}]|:[\p{{L}}\p{{N}}:]|\.\d)",
@@ -102,8 +114,13 @@ def _digits(s: Column) -> Column:
     return F.regexp_replace(s, r"[^0-9]", "")
 
 
+def _number(key: str, label: str, *of: Column, digits: int = 15, base: int = 10) -> Column:
+    """A keyed number of sha-256: of 60 bits, or 64 with a sign."""
+    return F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(key), F.lit(label), *[x.cast("string") for x in of]), 256), 1, digits), 16, base).cast("long")
+
+
 def _hash(value: Column, salt: Column, key: str, label: str, below: Column) -> Column:
-    return F.pmod(F.xxhash64(F.lit(key), F.lit(label), salt, value), below)
+    return F.pmod(_number(key, label, salt, value), below)
 
 
 def _permuted(left: Column, right: Column, high: Column, low: Column, key: str, label: str) -> Column:
@@ -197,7 +214,7 @@ def _ip6(e: Column, key: str) -> Column:
     half = lambda g, at: F.shiftleft(F.get(g, at), 48).bitwiseOR(F.shiftleft(F.get(g, at + 1), 32)).bitwiseOR(F.shiftleft(F.get(g, at + 2), 16)).bitwiseOR(F.get(g, at + 3))
 
     def turn(x: Column, r: Column) -> Column:
-        return F.struct(x["b"].alias("a"), x["a"].bitwiseXOR(F.xxhash64(F.lit(key), F.lit("ip6"), r, x["b"])).alias("b"))
+        return F.struct(x["b"].alias("a"), x["a"].bitwiseXOR(_number(key, "ip6", r, x["b"], digits=16, base=-10)).alias("b"))
 
     turned = lambda g: F.aggregate(F.sequence(F.lit(0), F.lit(3)), F.struct(half(g, 0).alias("a"), half(g, 4).alias("b")), turn)
     shown = lambda y: F.concat_ws(":", *[F.lower(F.hex(F.shiftrightunsigned(y[h], n).bitwiseAND(F.lit(0xFFFF).cast("long")))) for h in ("a", "b") for n in (48, 32, 16, 0)])
@@ -223,7 +240,7 @@ def _like(s: Column, of: Column, attempt: Column, key: str, hexadecimal: bool =
     of ``of``. Letters of other scripts become digits; marks stay."""
 
     def one(c: Column, i: Column) -> Column:
-        return _let(F.xxhash64(F.lit(key), F.lit("letters"), of, attempt, i), lambda h: swapped(c, h))
+        return _let(_number(key, "letters", of, attempt, i), lambda h: swapped(c, h))
 
     def swapped(c: Column, h: Column) -> Column:
         out = F.when(c.rlike(r"[\p{L}\p{N}]"), F.pmod(h, F.lit(10)).cast("string")).otherwise(c)
@@ -268,20 +285,46 @@ def _name(e: Column, attempt: Column, key: str) -> Column:
     gender = F.lit("any")
     for g in ("male", "female"):
         gender = F.when(bare.isin(*TITLES[g]), g).otherwise(gender)
-    script = F.when(person.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
-    h = lambda label: F.xxhash64(F.lit(key), F.lit(label), person, attempt)
-    pick = lambda values, label: F.element_at(F.array(*map(F.lit, values)), (F.pmod(h(label), F.lit(len(values))) + 1).cast("int"))
+    script = F.when(person.rlike(r"\p{IsCyrillic}"), "cyrillic").when(person.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
+    full = F.instr(person, " ") > 0
+    own = F.lower(F.substring_index(person, " ", 1))
+    ends = F.lower(F.substring_index(person, " ", -1))
+    pick = lambda values, *of: F.element_at(F.array(*map(F.lit, values)), (F.pmod(_number(key, *of), F.lit(len(values))) + 1).cast("int"))
     given = F.lit("")
+
+    def another(values: list[str]) -> Column:
+        """One of the names, but not the person's own."""
+        names = F.array(*map(F.lit, values))
+        return _let(F.pmod(_number(key, "given", own), F.lit(len(values))).cast("int"), lambda i: F.get(names, F.when(F.lower(F.get(names, i)) == own, (i + 1) % len(values)).otherwise(i)))
+
     for (g, s), values in GIVEN.items():
-        given = F.when((gender == g) & (script == s), pick(values, "given")).otherwise(given)
+        more = lambda i: F.concat(F.lit("-"), pick(values, "more given", own, ends, attempt, i))  # noqa: E731, B023
+        added = F.when(attempt > 0, F.array_join(F.transform(F.sequence(F.lit(1), attempt), more), "")).otherwise("")
+        given = F.when((gender == g) & (script == s), F.concat(another(values), added)).otherwise(given)
     family = F.lit("")
     for s, values in SYLLABLES.items():
-        letters = F.array(*map(F.lit, values))
-        syllable = lambda i: F.element_at(letters, (F.pmod(F.xxhash64(F.lit(key), F.lit("more"), person, attempt, i), F.size(letters)) + 1).cast("int"))  # noqa: E731, B023
-        more = F.when(attempt > 0, F.array_join(F.transform(F.sequence(F.lit(1), attempt), syllable), "")).otherwise("")
-        family = F.when(script == s, F.initcap(F.concat(*[pick(values, f"family{i}") for i in range(5)], more))).otherwise(family)
-    full = F.instr(person, " ") > 0
-    return F.concat(title, F.lit(" "), F.when(full, F.concat(given, F.lit(" "), family)).otherwise(family))
+        syllable = lambda i: pick(values, "more", ends, attempt, i)  # noqa: E731, B023
+        added = F.when((attempt > 0) & ~full, F.array_join(F.transform(F.sequence(F.lit(1), attempt), syllable), "")).otherwise("")
+        family = F.when(script == s, F.initcap(F.concat(*[pick(values, f"family{i}", ends) for i in range(5)], added))).otherwise(family)
+    new = F.when(full, F.concat(given, F.lit(" "), family)).otherwise(family)
+    return F.concat(title, F.lit(" "), F.when((person == F.upper(person)) & (F.length(person) > 1), F.upper(new)).otherwise(new))
+
+
+def _iban(e: Column, attempt: Column, key: str) -> Column:
+    """Country, length, spaces and the places of letters stay; the check digits are valid."""
+    bare = F.translate(e, " ", "")
+    country, rest = F.substring(bare, 1, 2), F.substring(bare, F.lit(5), F.length(bare))
+
+    def checked(account: Column) -> Column:
+        turned = F.split(F.concat(account, country, F.lit("00")), "")
+        code = lambda c: F.when(c.rlike("[0-9]"), c.try_cast("int")).otherwise(F.ascii(c) - 55)
+        rest = F.aggregate(turned, F.lit(0), lambda n, c: (n * F.when(c.rlike("[0-9]"), 10).otherwise(100) + code(c)) % 97)
+        return F.concat(country, F.lpad((98 - rest).cast("string"), 2, "0"), account)
+
+    made = _let(_like(rest, bare, attempt, key), checked)
+    # the spaces where they were
+    gaps = F.split(e, "[A-Z0-9]", -1)
+    return _let(made, lambda m: F.array_join(F.zip_with(gaps, F.split(m, ""), lambda g, c: F.concat(F.coalesce(g, F.lit("")), F.coalesce(c, F.lit("")))), ""))
 
 
 def surrogate(entity: Column, attempt: Column, key: str) -> Column:
@@ -295,6 +338,8 @@ def surrogate(entity: Column, attempt: Column, key: str) -> Column:
             .when(k == "ip", _ip(e, key))
             .when(k == "ip6", _ip6(e, key))
             .when(k == "name", _name(e, a, key))
+            .when(k == "iban", _iban(e, a, key))
+            .when(k == "ssn", _refilled(e, _permuted_digits(_digits(e), key, "ssn")))
             .otherwise(_card(e, key))
         )
 
@@ -311,7 +356,8 @@ def _known(entity: Column) -> Column:
             F.lit(" "),
             F.when(k == "email", F.lower(e))
             .when(k == "token", _token_known(e))
-            .when(k == "name", F.regexp_replace(e, r"^\S+ ", ""))
+            .when(k == "name", F.lower(F.regexp_replace(e, r"^\S+ ", "")))
+            .when(k == "iban", F.translate(e, " ", ""))
             .when(k == "ip", F.concat_ws(".", F.transform(_octets(e), lambda b: b.cast("string"))))
             .when(k == "ip6", F.concat_ws(":", F.transform(_groups(e), lambda g: g.cast("string"))))
             .otherwise(_digits(e)),
@@ -333,7 +379,7 @@ def attempts(entities: DataFrame, key: str) -> DataFrame | None:
         tried = known.withColumn("attempt", F.lit(0)) if late is None else known.join(late, "known", "left").withColumn("attempt", F.coalesce("attempt", F.lit(0)))
         made = stage(tried.select("known", _known(surrogate(F.col("entity"), F.col("attempt"), key)).alias("surrogate")), "surrogates")
         # permutations neither collide nor depend on the attempt
-        made = made.where(F.substring_index("known", " ", 1).isin("email", "token", "name"))
+        made = made.where(F.substring_index("known", " ", 1).isin("email", "token", "name", "iban"))
         shared = made.groupBy("surrogate").agg(F.min("known").alias("low"), F.max("known").alias("high")).where("low <> high").select("surrogate", "low")
         clash = made.join(shared, "surrogate").where("known <> low").select("known")
         taken = made.join(known.select(F.col("known").alias("surrogate")).distinct(), "surrogate", "left_semi").select("known")
@@ -355,6 +401,7 @@ def _by_text(found: DataFrame, late: DataFrame) -> DataFrame:
 
 def replace(docs: DataFrame, key: str, text: str = "text", max_late: int = MAX_LATE) -> DataFrame:
     """``docs`` with surrogates in the text, and entity_count."""
+    n_hits, n_late = free_name(docs.columns, "entities_in_text"), free_name(docs.columns, "late_attempts")
     hits = _found(F.col(text))
     found = docs.select(F.explode(hits).alias("entity")).distinct()
     late = attempts(stage(found, "found"), key)
@@ -363,14 +410,16 @@ def replace(docs: DataFrame, key: str, text: str = "text", max_late: int = MAX_L
     if late is not None and late.count() <= max_late:
         table = F.create_map(*[F.lit(x) for r in sorted(late.collect()) for x in r])
     elif late is not None:
-        digest = F.sha2(F.col(text), 256).alias("digest")
-        maps = stage(_by_text(docs.select(digest, F.explode(hits).alias("entity")), late), "late-by-text")
+        n_digest = free_name(docs.columns, "digest")
+        digest = F.sha2(F.col(text), 256)
+        maps = stage(_by_text(docs.select(digest.alias("digest"), F.explode(hits).alias("entity")), late), "late-by-text")
+        maps = maps.select(F.col("digest").alias(n_digest), F.col("late_attempts").alias(n_late))
         columns = out.columns
-        out = out.select("*", digest).join(maps, "digest", "left").select(*columns, "late_attempts")
-        table = F.col("late_attempts")
-    out = out.withColumn("entities_in_text", hits)
+        out = out.withColumn(n_digest, digest).join(maps, n_digest, "left").select(*columns, n_late)
+        table = F.col(n_late)
+    out = out.withColumn(n_hits, hits)
     gaps = F.split(F.col(text), ANY, -1)
-    fresh = F.transform("entities_in_text", lambda e: surrogate(e, _attempt(e, table), key))
+    fresh = F.transform(n_hits, lambda e: surrogate(e, _attempt(e, table), key))
     joined = F.array_join(F.flatten(F.zip_with(gaps, fresh, lambda g, e: F.array(g, F.coalesce(e, F.lit(""))))), "")
-    out = out.withColumn(text, F.when(F.size("entities_in_text") > 0, joined).otherwise(F.col(text)))
-    return out.withColumn("entity_count", F.when(F.col(text).isNotNull(), F.size("entities_in_text")).otherwise(0).try_cast("long")).drop("entities_in_text", "late_attempts")
+    out = out.withColumn(text, F.when(F.size(n_hits) > 0, joined).otherwise(F.col(text)))
+    return out.withColumn("entity_count", F.when(F.col(text).isNotNull(), F.size(n_hits)).otherwise(0).try_cast("long")).drop(n_hits, n_late)

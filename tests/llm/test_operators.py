@@ -302,6 +302,35 @@ def test_surrogates(spark):
     assert pii.replace(docs.where("false"), "key").count() == 0
 
 
+def test_surrogates_of_names(spark):
+    texts = ["Frau Müller-Lüdenscheidt Herr O'Brien", "Mr John Smith, Mr Smith and Mr JOHN SMITH", "Mr James Smith met Mr O’Neil", "Mr Δημήτρης Παπαδόπουλος", "Mrs Smith"]
+    docs = spark.createDataFrame([(i, t, "e", "l", "d") for i, t in enumerate(texts)], "doc_id int, text string, entities_in_text string, late_attempts string, digest string")
+    for most in (1 << 14, 0):
+        out = pii.replace(docs, "key", max_late=most)
+        assert out.columns == [*docs.columns, "entity_count"]
+        got = {r.doc_id: r.text for r in out.collect()}
+        for name in ("Müller", "Brien", "Smith", "SMITH", "John", "Neil", "Παπα", "Δημ"):
+            assert not any(name in x for x in got.values()), name
+        a, b = re.fullmatch(r"Frau (\w+) Herr (\w+)", got[0]).groups()
+        given, family, alone, loud = re.fullmatch(r"Mr (\S+) (\w+), Mr (\w+) and Mr (.+)", got[1]).groups()
+        assert a != b and family == alone and loud == f"{given} {family}".upper()
+        other, same = re.match(r"Mr (\S+) (\w+) met", got[2]).groups()
+        assert same == family and other != given and got[4] == f"Mrs {family}"
+        assert re.fullmatch(r"Mr [\u0370-\u03ff]+ [\u0370-\u03ff]+", got[3])
+
+
+def test_surrogates_of_accounts(spark):
+    texts = ["DE89 3704 0044 0532 0130 00 and DE89370400440532013000", "GB82WEST12345698765432.", "ssn 123-45-6789, not 2024-01-02 nor 1-123-45-6789"]
+    got = {r.doc_id: r for r in pii.replace(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), "key").collect()}
+    assert [got[i].entity_count for i in range(3)] == [2, 1, 1]
+    one, two = got[0].text.split(" and ")
+    assert one.replace(" ", "") == two and re.fullmatch(r"DE\d\d( \d{4}){4} \d\d", one) and two != "DE89370400440532013000"
+    assert re.fullmatch(r"GB\d\d[A-Z]{4}\d{14}\.", got[1].text) and "WEST" not in got[1].text
+    for x in (two, got[1].text[:-1]):
+        assert int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97 == 1
+    assert re.fullmatch(r"ssn \d{3}-\d\d-\d{4}, not 2024-01-02 nor 1-123-45-6789", got[2].text) and "ssn 123-45-6789" not in got[2].text
+
+
 def test_surrogates_of_spellings(spark):
     texts = ["1.2.3.4 and 1.2.3.04", "+44 7911 123456, +447911123456 and +44 (7911) 12-34-56", "1 sk_" + "-" * 16, "ghp_AbCdEfGhIjKlMnOp ghp_aBcDeFgHiJkLmNoP 1"]
     got = {r.doc_id: r.text for r in pii.replace(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), "key").collect()}
