@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, In, InputPartition
 
-from .store import FolderWriter, listed, opened, shared_out
+from .store import FolderWriter, listed, opened, part_bytes, shared_out
 
 _ALLOWED = {(m, n) for top in ("numpy", "numpy._core", "numpy.core") for m, n in ((f"{top}.multiarray", "_reconstruct"), (f"{top}.multiarray", "scalar"), (f"{top}.numeric", "_frombuffer"))} | {("numpy", "ndarray"), ("numpy", "dtype")}
 MOST_BYTES = 1 << 30
@@ -155,7 +155,7 @@ def _read_part(paths: list[str], columns: list[str], demo: bool) -> Iterator[pa.
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, columns: list[str], path: str, most: int, demo: bool):
+    def __init__(self, columns: list[str], path: str, most: str | None, demo: bool):
         self.columns, self.path, self.most, self.demo = columns, path, most, demo
         self.wanted: set[str] | None = None
 
@@ -170,7 +170,7 @@ class _Reader(DataSourceReader):
 
     def partitions(self) -> list[Part]:
         files = [x for x in listed(self.path) if self.wanted is None or x[0] in self.wanted]
-        return [Part(x) for x in shared_out(files, self.most)] or [Part([])]
+        return [Part(x) for x in shared_out(files, part_bytes(files, self.most, PART_BYTES))] or [Part([])]
 
     def read(self, partition: Part) -> Iterator[pa.RecordBatch]:
         yield from _read_part(partition.paths, self.columns, self.demo)
@@ -180,7 +180,7 @@ class _StreamReader(DataSourceStreamReader):
     """Files in order of modification time and path. A file must not appear with a time before
     that of one already read; ``streaming.ingest`` keeps a log and has no such rule."""
 
-    def __init__(self, columns: list[str], path: str, most: int, demo: bool):
+    def __init__(self, columns: list[str], path: str, most: str | None, demo: bool):
         self.columns, self.path, self.most, self.demo = columns, path, most, demo
 
     def initialOffset(self) -> dict:  # noqa: N802
@@ -192,7 +192,8 @@ class _StreamReader(DataSourceStreamReader):
 
     def partitions(self, start: dict, end: dict) -> list[Part]:
         low, high = (start["time"], start["path"]), (end["time"], end["path"])
-        return [Part(x) for x in shared_out([x for x in listed(self.path) if low < (x[2], x[0]) <= high], self.most)]
+        files = [x for x in listed(self.path) if low < (x[2], x[0]) <= high]
+        return [Part(x) for x in shared_out(files, part_bytes(files, self.most, PART_BYTES))]
 
     def read(self, partition: Part) -> Iterator[pa.RecordBatch]:
         yield from _read_part(partition.paths, self.columns, self.demo)
@@ -252,11 +253,11 @@ class Recordings(DataSource):
     def schema(self) -> str:
         return _ddl(ALL)
 
-    def _given(self, schema: T.StructType) -> tuple[list[str], str, int, bool]:
+    def _given(self, schema: T.StructType) -> tuple[list[str], str, str | None, bool]:
         for f in schema:
             if KINDS.get(f.name) != f.dataType.simpleString():
                 raise ValueError(f"recordings have no column {f.name} {f.dataType.simpleString()}")
-        return schema.fieldNames(), self.options["path"], int(self.options.get("partitionbytes", PART_BYTES)), self.options.get("demo", "true").lower() == "true"
+        return schema.fieldNames(), self.options["path"], self.options.get("partitionbytes"), self.options.get("demo", "true").lower() == "true"
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
         return _Reader(*self._given(schema))
@@ -269,7 +270,8 @@ class Recordings(DataSource):
 
 
 def scan(spark: SparkSession, path: str, columns: Sequence[str] = SOURCE, demo: bool = True) -> DataFrame:
-    """Recordings by the format ``recordings``, which this registers."""
+    """Recordings by the format ``recordings``, which this registers; filters reach Python data
+    sources only with a setting of the session, which is turned on."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(Recordings)
     return spark.read.format("recordings").schema(_ddl(columns)).option("demo", str(demo).lower()).load(path)

@@ -116,6 +116,15 @@ def opened(path: str) -> tuple[fs.FileSystem, str]:
     return store, f"{base.rstrip('/')}/{below}"
 
 
+LEAST_PART, PARTS = 1 << 20, 64
+
+
+def part_bytes(files: list[tuple[str, int, int]], given: str | None, most: int) -> int:
+    """Bytes of a partition: what is given, else ``most``, or less where that makes few
+    partitions of small files."""
+    return int(given) if given else min(most, max(LEAST_PART, sum(n for _, n, _ in files) // PARTS))
+
+
 def shared_out(files: list[tuple[str, int, int]], most: int) -> Iterator[list[str]]:
     """Consecutive files of ``most`` bytes together, or one that is larger."""
     part: list[str] = []
@@ -138,8 +147,9 @@ class Written(WriterCommitMessage):
 
 class FolderWriter(DataSourceArrowWriter):
     """Tasks write files to folders of their own under ``_staging``; the commit moves those of
-    the attempts that ended well, a rename for each task, and drops the rest. An overwrite
-    deletes what was there right before. Subclasses say what a task writes."""
+    the attempts that ended well, a rename for each task, and drops the rest. An overwrite then
+    deletes what was there before; a driver that dies in between leaves both, and loses nothing.
+    Subclasses say what a task writes."""
 
     def __init__(self, folder: str, overwrite: bool):
         self.folder, self.overwrite, self.job = folder.rstrip("/"), overwrite, uuid.uuid4().hex
@@ -156,13 +166,13 @@ class FolderWriter(DataSourceArrowWriter):
 
     def commit(self, messages: list) -> None:
         store, top = opened(self.folder)
-        if self.overwrite:
-            for x in store.get_file_info(fs.FileSelector(top, allow_not_found=True)):
-                if x.base_name != "_staging":
-                    (store.delete_dir if x.type == fs.FileType.Directory else store.delete_file)(x.path)
+        old = store.get_file_info(fs.FileSelector(top, allow_not_found=True)) if self.overwrite else []
         for m in messages:
             if m is not None and m.rows:
                 store.move(f"{top}/_staging/{self.job}/{m.folder}", f"{top}/{m.folder}")
+        for x in old:
+            if x.base_name != "_staging":
+                (store.delete_dir if x.type == fs.FileType.Directory else store.delete_file)(x.path)
         self.abort(messages)
 
     def abort(self, messages: list) -> None:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from .store import FolderWriter, listed, opened, shared_out
+from .store import FolderWriter, listed, opened, part_bytes, shared_out
 
 PART_BYTES = 1 << 27
 FILE_BYTES = 1 << 28  # of a file, after which a task begins another
@@ -247,12 +247,13 @@ class Part(InputPartition):
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, schema: T.StructType, path: str, most: int):
+    def __init__(self, schema: T.StructType, path: str, most: str | None):
         self.schema, self.path, self.most = schema, path, most
         self.kinds = {f.name: kind_of(f.dataType) for f in schema}
 
     def partitions(self) -> list[Part]:
-        return [Part(x) for x in shared_out(listed(self.path), self.most)] or [Part([])]
+        files = listed(self.path)
+        return [Part(x) for x in shared_out(files, part_bytes(files, self.most, PART_BYTES))] or [Part([])]
 
     def _value(self, name: str, found: dict[str, tuple[int, list]]):
         if name not in found:
@@ -319,7 +320,7 @@ class TFRecords(DataSource):
         raise ValueError("declare the columns to read: records have no schema")
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        return _Reader(schema, self.options["path"], int(self.options.get("partitionbytes", PART_BYTES)))
+        return _Reader(schema, self.options["path"], self.options.get("partitionbytes"))
 
     def writer(self, schema: T.StructType, overwrite: bool) -> FolderWriter:
         return _Writer(self.options["path"], overwrite, schema, int(self.options.get("filebytes", FILE_BYTES)))

@@ -73,13 +73,19 @@ def test_partitions_and_filters(spark, tmp_path):
     assert npy.scan(spark, path).rdd.getNumPartitions() == 1
     small = spark.read.format("recordings").schema("step_index long").option("partitionBytes", files[0][1]).load(path)
     assert small.rdd.getNumPartitions() == 9 and small.count() == 18
-    reader = npy._Reader(["step_index"], path, 1 << 30, True)
+    reader = npy._Reader(["step_index"], path, None, True)
     left = list(reader.pushFilters([npy.EqualTo(("episode_id",), files[4][0]), npy.EqualTo(("step_index",), 1)]))
     assert [x.paths for x in reader.partitions()] == [[files[4][0]]] and left == [npy.EqualTo(("step_index",), 1)]
     one = npy.scan(spark, path).where(F.col("episode_id") == files[4][0])
     assert one.count() == 2 and one.where("step_index = 1").count() == 1
 
 
+def test_bytes_of_partitions():
+    files = [(str(i), 3 << 20, 0) for i in range(640)]
+    assert store.part_bytes(files, None, 1 << 27) == 30 << 20 and store.part_bytes(files, "7", 1 << 27) == 7
+    assert store.part_bytes(files * 100, None, 1 << 27) == 1 << 27 and store.part_bytes(files[:1], None, 1 << 27) == store.LEAST_PART
+
+
 def test_a_batch_is_bounded(monkeypatch):
     steps = np.empty(10, object)
     steps[:] = [{"image": np.full(1000, i, np.uint8)} for i in range(10)]
