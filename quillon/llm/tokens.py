@@ -11,6 +11,7 @@ about them. A tokenizer of another make encodes whole texts.
 from __future__ import annotations
 
 import json
+import os
 import re
 from array import array
 from collections.abc import Iterator
@@ -63,6 +64,7 @@ class Encoder:
         self.tokenizer.encode_special_tokens = plain
         added = [] if plain else [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile(b"|".join(re.escape(x.encode()) for x in added), re.I) if added else None
+        self.lead = re.match("[^A-Za-z]*", os.path.commonprefix(added))[0].encode()  # which every one begins with
         pre, norm = (json.loads(x.__getstate__()) if x else {} for x in (self.tokenizer.pre_tokenizer, self.tokenizer.normalizer))
         kinds = [x["type"] for x in norm.get("normalizers", [])]
         steps = pre.get("pretokenizers", [])
@@ -112,8 +114,9 @@ class Encoder:
 
     def _special(self, t: Text) -> np.ndarray:
         """The texts that hold a special token's string, in whatever case."""
-        if self.special is None or not (found := [m.start() for m in self.special.finditer(t.data)]):
+        if self.special is None or self.lead not in (data := t.data.tobytes()):
             return np.zeros(0, np.int64)
+        found = [m.start() for m in self.special.finditer(data)]
         return np.unique(np.searchsorted(t.offs, found, "right") - 1)
 
     def encode(self, t: Text) -> tuple[np.ndarray, np.ndarray]:
