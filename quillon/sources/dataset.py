@@ -6,7 +6,8 @@
 
 A version exists when its entry in the log does. The entry is made last, in one rename, so
 steps, episodes and facts become visible together, a write that is killed leaves what was
-there, and of two writers at a time one gets an error. Old versions stay readable until
+there, and of two writers at a time one gets an error (where the store renames in one step, as HDFS and
+mounted folders do; on a plain object store, let one write at a time). Old versions stay readable until
 ``vacuum``.
 """
 
@@ -201,4 +202,4 @@ class Catalogue:
         return self._files.read(f"{name}/{have[-1]}")
 
     def names(self) -> list[str]:
-        return [x for x in self._files.names() if not x.startswith(".")]
+        return self._files.names()

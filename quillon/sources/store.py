@@ -39,7 +39,7 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 class Files:
-    """Names below a folder, as the driver sees them."""
+    """Names below a folder, as the driver sees them; hidden ones are left out."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self._jvm, self._conf, self.folder = spark._jvm, spark._jsc.hadoopConfiguration(), folder.rstrip("/")
@@ -52,7 +52,7 @@ class Files:
     def names(self, name: str = "") -> list[str]:
         if not self._fs.exists(self._path(name)):
             return []
-        return sorted(x.getPath().getName() for x in self._fs.listStatus(self._path(name)))
+        return sorted(n for x in self._fs.listStatus(self._path(name)) if not (n := x.getPath().getName()).startswith("."))
 
     def read(self, name: str) -> str:
         stream = self._fs.open(self._path(name))
