@@ -91,8 +91,9 @@ DAMAGE = 97
 
 
 def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = stage(spelling.count_words(table(spark, sf_dir, "documents").select("doc_id", "text"), damage=DAMAGE), "spelling-words")
-    return spelling.group(words)
+    with temporary(spark):
+        words = stage(spelling.count_words(table(spark, sf_dir, "documents").select("doc_id", "text"), damage=DAMAGE), "spelling-words")
+        return stage(spelling.group(words), "spelling", keep=True)
 
 
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,9 @@ log-likelihood by more than half the logarithm of the number of words.
 
 Defined results: ``und`` with score 0 for null texts, texts without a letter, and if no
 language was learned; rows are judged each by itself; rows without language or id are not
-learned from; an empty table gives an empty table.
+learned from; an empty table gives an empty table; of languages that are equally probable the
+first in order of name is taken; a text of any length is judged whole, in memory in proportion
+to it (some 60 bytes a byte); other columns are not kept.
 """
 
 from __future__ import annotations

@@ -9,7 +9,9 @@ sees a histogram of bounded size, whatever the number of documents, and it is ex
 
 Defined results: a null text counts as empty, it has no words and all rules but the
 length rule abstain; an empty table gives an empty table; repeated rows are judged each
-by itself; the other columns of the input are not looked at.
+by itself, and equally; a text of any length is judged whole, in memory in proportion to it
+(some 60 bytes a byte); the other columns of the input are not looked at, ``keep_good`` keeps
+them.
 """
 
 from __future__ import annotations

@@ -17,9 +17,10 @@ Urls without a rule are judged by a second cascade over their hosts: those with
 word in a label are blocked, others allowed.
 
 DataFrame functions only. Defined results: null, and urls without ``://``, have an empty
-host and path and are allowed, with no rule; equal rows are judged each by itself; empty
-tables and lists are allowed; other columns are kept by ``judge`` unless they have the name
-of a new one.
+host and path and are allowed, with no rule; equal rows are judged each by itself; no two
+rules of a length fit one url, but a rule on both lists allows; urls of any length are judged
+whole; a rule without a ``/`` is an error; empty tables and lists are allowed; other columns
+are kept by ``judge`` unless they have the name of a new one.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .staging import stage
+from .staging import free_name, stage
 
 MOST = 1 << 15  # listed keys of a cascade
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -137,6 +138,8 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], words: tuple[str, ...]
     """``pages`` with host, path, rule (null if none fits) and verdict. ``rules``: pairs of
     allow or block, and host/path."""
     spark = pages.sparkSession
+    if bad := [r for r in rules if r[0] not in ("allow", "block") or "/" not in r[1]]:
+        raise ValueError(f"a rule is allow or block, and host/path; not {bad}")
     lengths = sorted({len(r) - r.index("/") for _, r in rules})
     host, path = parts(F.col(url))
     urls = pages.select(host.alias("host"), path.alias("path"))
@@ -150,9 +153,9 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], words: tuple[str, ...]
         lambda c: F.struct(F.length(c).alias("length"), F.when(lists["allow"].has(c), "allow").when(lists["block"].has(c), "block").alias("verdict"), c.alias("rule")),
     )
     best = F.array_max(F.filter(marked, lambda c: c["verdict"].isNotNull()))
-    out = out.withColumn("best_fit", best)
-    return out.select(
-        *[c for c in out.columns if c != "best_fit"],
-        F.col("best_fit.rule").alias("rule"),
-        F.coalesce("best_fit.verdict", F.when(by_host.has(F.col("host")), "block").otherwise("allow")).alias("verdict"),
+    fit = free_name(out.columns, "best_fit")
+    return out.withColumn(fit, best).select(
+        *out.columns,
+        F.col(f"{fit}.rule").alias("rule"),
+        F.coalesce(f"{fit}.verdict", F.when(by_host.has(F.col("host")), "block").otherwise("allow")).alias("verdict"),
     )

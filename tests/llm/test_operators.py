@@ -279,6 +279,18 @@ def test_cascade_is_exact(spark, monkeypatch):
 # --- personal data
 
 
+def test_url_rules_that_clash(spark):
+    pages = spark.createDataFrame([("http://a.org/x/y", "kept", 1), ("http://b.org/" + "long" * 5000, None, 2)], "url string, best_fit string, n int")
+    rules = [("block", "org/"), ("block", "a.org/x"), ("allow", "a.org/x"), ("block", "a.org/")]
+    out = url_filter.judge(pages, rules)
+    assert out.columns == ["url", "best_fit", "n", "host", "path", "rule", "verdict"]
+    got = {r.n: r for r in out.collect()}
+    assert (got[1].rule, got[1].verdict, got[1].best_fit) == ("a.org/x", "allow", "kept") and (got[2].rule, got[2].verdict) == ("org/", "block")
+    for bad in ([("allow", "org")], [("maybe", "org/")]):
+        with pytest.raises(ValueError, match="host/path"):
+            url_filter.judge(pages, bad)
+
+
 def test_surrogates(spark):
     texts = ["Mail ann.b7@mail7.example.com or ANN.B7@MAIL7.EXAMPLE.COM!! tel +1 (743) 555-3824, ip 97.51.17.173 card 4532 0151 1283 0366 or 4532015112830366.", 'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" Mr. John Smith met Frau Müller, Господин Иванов и.é@ж.рф', None, "", "clean text of 12 words, 2024-01-02 v1.2.3 and 1234", "again +1 (743) 555-3824 and ann.b7@mail7.example.com, Mr. John Smith"]
     docs = spark.createDataFrame([(i, t, 5) for i, t in enumerate(texts)], "doc_id int, text string, entity_count int")
