@@ -58,7 +58,8 @@ class Moments:
         finite = np.isfinite(value)
         self.seen += np.bincount(dim, minlength=size)
         self.n += np.bincount(dim[there], minlength=size)
-        self.total += np.bincount(dim[there], value[there], size)
+        # one value after the other, as an aggregate of rows adds them
+        self.total = np.bincount(np.append(np.arange(size), dim[there]), np.append(self.total, value[there]), size)
         self.odd += np.bincount(dim[~finite], minlength=size)
         if len(dim) % size == 0 and finite.all() and np.array_equal(dim[:size], np.arange(size)) and (dim.reshape(-1, size) == dim[:size]).all():
             rows = value.reshape(-1, size)
